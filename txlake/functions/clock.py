@@ -31,21 +31,21 @@ def instant_from_utc(ntz: Column) -> Column:
     return F.timestamp_micros((whole_days + in_day) * 1000000 + micros)
 
 
+_LOCAL_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?$"
+
+
 def parse_instant(text: Column) -> Column:
     """Text to instant, NULL when it does not parse.
 
-    A text without an offset is read in UTC. Spark also accepts a bare time of
-    day (as today) and a bare year; both are kept as Spark reads them, but a
-    zone-less date-time is pinned to UTC so that the host zone cannot move it.
+    A date-time without an offset is read in UTC, so the host zone cannot move
+    it. Spark also accepts a bare time of day (as today) and a bare year; both
+    are kept as Spark reads them. A text ending in ``+hh:mm`` or ``-hh:mm``, the
+    contract's own form, skips the pattern check.
     """
-    zoned = F.when(
-        text.rlike(r"^\s*\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?\s*$"),
-        F.try_to_timestamp(
-            F.concat(
-                F.trim(text),
-                F.when(F.trim(text).rlike("[ T]"), F.lit("")).otherwise(F.lit("T00:00:00")),
-                F.lit("+00:00"),
-            )
-        ),
+    zoned = (F.length(text) > 16) & F.substring(text, -6, 1).isin("+", "-")
+    bare = F.trim(text)
+    as_utc = F.concat(
+        bare, F.when(F.length(bare) > 10, "+00:00").otherwise("T00:00:00+00:00")
     )
-    return F.coalesce(zoned, F.try_to_timestamp(text))
+    local = ~zoned & bare.rlike(_LOCAL_DATE_TIME)
+    return F.try_to_timestamp(F.when(local, as_utc).otherwise(text))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,7 +48,13 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def broken_rules(rules: Sequence[Rule] | None = None) -> Column:
+def passes(rules: Sequence[Rule]) -> Column:
+    """True when every rule holds; a plain conjunction, so filters on it push down."""
+    return reduce(and_, (holds(cond) for _, cond in rules))
+
+
+def broken_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row breaks, in rule order (empty array when clean)."""
-    tags = [F.when(~holds(cond), F.lit(name)) for name, cond in rules or standard_rules()]
-    return F.array_compact(F.array(*tags))
+    tags = [F.when(~holds(cond), F.lit(name)) for name, cond in rules]
+    clean = F.array().cast("array<string>")
+    return F.when(passes(rules), clean).otherwise(F.array_compact(F.array(*tags)))

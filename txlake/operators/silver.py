@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from txlake.constants import SILVER_COLUMNS
 from txlake.functions.clock import parse_instant, utc_day
 from txlake.functions.money import to_pln
-from txlake.functions.rules import Rule, broken_rules
+from txlake.functions.rules import Rule, broken_rules, passes, standard_rules
 
-# The rate table is broadcast only up to this many rows; a larger one is joined as Spark sees fit.
-MAX_BROADCAST_RATES = 10_000
 ORDER_COLUMNS = ("ingestion_time", "_offset", "_partition", "_value_hash")
 
 
@@ -54,9 +52,6 @@ def normalize(typed: DataFrame, rates: DataFrame) -> DataFrame:
     Left join: a row with an unknown currency stays, without a rate, and the
     currency rule rejects it later.
     """
-    # limit() makes the check cost a bounded scan whatever the rate table holds
-    if rates.limit(MAX_BROADCAST_RATES + 1).count() <= MAX_BROADCAST_RATES:
-        rates = F.broadcast(rates)
     return (
         typed.withColumn("event_date", utc_day(F.col("event_time")))
         .join(rates, "currency", "left")
@@ -66,8 +61,9 @@ def normalize(typed: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def tag_errors(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add ``dq_errors``, the names of the rules each row breaks."""
-    return df.withColumn("dq_errors", broken_rules(rules))
+    """Add ``is_valid`` and ``dq_errors``, the names of the rules each row breaks."""
+    rules = standard_rules() if rules is None else rules
+    return df.withColumns({"is_valid": passes(rules), "dq_errors": broken_rules(rules)})
 
 
 def tagged_silver(bronze: DataFrame, rates: DataFrame) -> DataFrame:
@@ -78,7 +74,7 @@ def tagged_silver(bronze: DataFrame, rates: DataFrame) -> DataFrame:
 def valid_rows(tagged: DataFrame) -> DataFrame:
     """Rows without errors, with the silver columns and the dedup tie-breakers."""
     extra = [c for c in ORDER_COLUMNS[2:] if c in tagged.columns]
-    return tagged.filter(F.size("dq_errors") == 0).select(*SILVER_COLUMNS, *extra)
+    return tagged.filter("is_valid").select(*SILVER_COLUMNS, *extra)
 
 
 def quarantined_rows(tagged: DataFrame, now: Column | None = None) -> DataFrame:
@@ -86,7 +82,7 @@ def quarantined_rows(tagged: DataFrame, now: Column | None = None) -> DataFrame:
     stamp = F.current_timestamp() if now is None else now
     kept = [c for c in (*SILVER_COLUMNS, "dq_errors") if c in tagged.columns]
     return (
-        tagged.filter(F.size("dq_errors") > 0).select(*kept).withColumn("quarantine_time", stamp)
+        tagged.filter("NOT is_valid").select(*kept).withColumn("quarantine_time", stamp)
     )
 
 

@@ -25,9 +25,19 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that comes in fewer splits than there are cores.
+
+    The small test files hold one row group each, which one core would read and
+    process alone. A table with enough splits is returned as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tx_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bronze-like row per line item: ``data`` struct, ``ingestion_time``, ``_offset``."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
@@ -40,7 +50,7 @@ def tx_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         return part % n == 0
 
     stamp = F.concat(
-        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        _text(F.col("o_orderdate").cast("date")),
         F.lit("T"),
         F.lpad(_text((part * 7 + line) % 24), 2, "0"),
         F.lit(":"),
@@ -80,7 +90,7 @@ def tx_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ev_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per event, with malformed payloads, extra fields, resends and late rows."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     e, user = F.col("event_id"), F.col("user_id")
     late = F.when(e % 40 == 0, e % 600 + 1).otherwise(0)
     sent = F.timestamp_add("SECOND", (-late).cast("long"), F.date_trunc("second", F.col("ts")))
