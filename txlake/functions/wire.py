@@ -1,4 +1,4 @@
-"""Contract check of a JSON wire record, as one array of messages per row.
+"""Contract check of JSON wire records, as one array of messages per row.
 
 Types are read from a VARIANT, since a typed struct cannot tell ``10`` from
 ``true`` or ``"10"``.
@@ -6,7 +6,7 @@ Types are read from a VARIANT, since a typed struct cannot tell ``10`` from
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.constants import CHANNELS, COUNTRIES, CURRENCIES, MERCHANT_CATEGORIES, WIRE_FIELDS
@@ -51,54 +51,76 @@ def _float_text(number: Column) -> Column:
     return F.when(F.abs(number).between(1e7, 1e16), plain).otherwise(number.cast("string"))
 
 
-def wire_errors(value: Column) -> Column:
-    """Contract violations of a JSON text, in contract order; empty when valid."""
-    record = F.try_parse_json(value)
-    shape = F.schema_of_variant(record)
-    keys = F.json_object_keys(value)
+def with_wire_errors(df: DataFrame, value: str = "value", output: str = "errors") -> DataFrame:
+    """Add the contract violations of a JSON text column, in contract order; empty when valid.
 
-    def part(field: str, kind: str) -> Column:
-        return F.try_variant_get(record, f"$.{field}", kind)
+    The text is parsed once, then each field's kind and text are taken once, in
+    projections of their own, so the messages below only compare columns.
+    """
+    parsed = df.withColumns(
+        {
+            "_record": F.try_parse_json(F.col(value)),
+            "_keys": F.json_object_keys(F.col(value)),
+        }
+    )
+    cells = parsed.withColumn("_shape", F.schema_of_variant("_record"))
+    cells = cells.withColumns(
+        {f"_v_{f}": F.try_variant_get("_record", f"$.{f}", "variant") for f in WIRE_FIELDS}
+    )
+    facts = {f"_k_{f}": F.schema_of_variant(f"_v_{f}") for f in WIRE_FIELDS}
+    facts |= {f"_t_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in WIRE_FIELDS}
+    facts |= {
+        "_amount": F.try_variant_get("_v_amount", "$", "double"),
+        "_extra": F.array_except("_keys", F.array(*[F.lit(f) for f in WIRE_FIELDS])),
+    }
+    facts |= {f"_p_{f}": F.array_contains("_keys", f) for f in WIRE_FIELDS}
+    return cells.withColumns(facts).select(*df.columns, _messages().alias(output))
 
+
+def _messages() -> Column:
     def kind_of(field: str) -> Column:
-        return F.schema_of_variant(part(field, "variant"))
+        return F.col(f"_k_{field}")
+
+    def text_of(field: str) -> Column:
+        return F.col(f"_t_{field}")
 
     def present(field: str) -> Column:
-        return F.array_contains(keys, field)
+        return F.col(f"_p_{field}")
 
     def is_text(field: str) -> Column:
         return F.coalesce(kind_of(field) == "STRING", F.lit(False))
 
     def shown(field: str) -> Column:
-        text, kind = part(field, "string"), kind_of(field)
+        text, kind = text_of(field), kind_of(field)
         quote = F.when(text.contains("'") & ~text.contains('"'), '"').otherwise("'")
+        number = F.try_variant_get(f"_v_{field}", "$", "double")
         return (
             F.when(kind == "STRING", F.concat(quote, text, quote))
             .when(kind == "VOID", "None")
             .when(kind == "BOOLEAN", F.initcap(text))
-            .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), _float_text(part(field, "double")))
-            .otherwise(F.coalesce(text, F.to_json(part(field, "variant"))))
+            .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), _float_text(number))
+            .otherwise(F.coalesce(text, F.to_json(f"_v_{field}")))
         )
 
-    fields = F.array(*[F.lit(f) for f in WIRE_FIELDS])
-    missing = F.array_except(fields, keys)
-    extra = F.array_sort(F.array_except(keys, fields))
+    absent = F.array_compact(F.array(*[F.when(~present(f), F.lit(f)) for f in WIRE_FIELDS]))
+    missing = F.array_join(absent, ", ")
+    extra = F.array_join(F.array_sort("_extra"), ", ")
     checks = [
-        F.when(F.size(missing) > 0, F.concat(F.lit("missing fields: "), F.array_join(missing, ", "))),
-        F.when(F.size(extra) > 0, F.concat(F.lit("unexpected fields: "), F.array_join(extra, ", "))),
+        F.when(F.length(missing) > 0, F.concat(F.lit("missing fields: "), missing)),
+        F.when(F.size("_extra") > 0, F.concat(F.lit("unexpected fields: "), extra)),
     ]
     for field in ("transaction_id", "account_id", "device_id"):
-        filled = is_text(field) & (F.length(part(field, "string")) > 0)
+        filled = is_text(field) & (F.length(text_of(field)) > 0)
         checks.append(
             F.when(present(field) & ~filled, F.lit(f"{field} must be a non-empty string"))
         )
-    dated = is_text("timestamp") & is_iso8601(part("timestamp", "string"))
+    dated = is_text("timestamp") & is_iso8601(text_of("timestamp"))
     checks.append(
         F.when(present("timestamp") & ~dated, F.lit("timestamp must be an ISO-8601 string"))
     )
     number = F.coalesce(kind_of("amount").rlike(_NUMBER), F.lit(False))
-    amount = part("amount", "double")
-    printed = F.when(kind_of("amount") == "BIGINT", part("amount", "string")).otherwise(
+    amount = F.col("_amount")
+    printed = F.when(kind_of("amount") == "BIGINT", text_of("amount")).otherwise(
         _float_text(amount)
     )
     checks.append(
@@ -107,18 +129,19 @@ def wire_errors(value: Column) -> Column:
         )
     )
     for field, words in VOCABULARIES.items():
-        listed = F.lit("(" + ", ".join(f"'{w}'" for w in words) + ")")
-        known = is_text(field) & part(field, "string").isin(*words)
+        listed = "(" + ", ".join(f"'{w}'" for w in words) + ")"
+        known = is_text(field) & text_of(field).isin(*words)
         checks.append(
             F.when(
                 present(field) & ~known,
-                F.concat(F.lit(f"{field} must be one of "), listed, F.lit(", got "), shown(field)),
+                F.concat(F.lit(f"{field} must be one of {listed}, got "), shown(field)),
             )
         )
     is_flag = F.coalesce(kind_of("is_fraud_label") == "BOOLEAN", F.lit(False))
     checks.append(
         F.when(present("is_fraud_label") & ~is_flag, F.lit("is_fraud_label must be a boolean"))
     )
+    shape = F.col("_shape")
     # Fixed names: how the contract's messages call the JSON kinds.
     kind_name = (
         F.when(shape.startswith("ARRAY"), "list")
@@ -129,7 +152,7 @@ def wire_errors(value: Column) -> Column:
         .otherwise("float")
     )
     return (
-        F.when(record.isNull(), F.array(F.lit("record must be a dict, got invalid JSON")))
+        F.when(shape.isNull(), F.array(F.lit("record must be a dict, got invalid JSON")))
         .when(
             ~shape.startswith("OBJECT"),
             F.array(F.concat(F.lit("record must be a dict, got "), kind_name)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,26 +17,21 @@ from txlake.constants import (
     RETRAIN_BANDS,
 )
 from txlake.functions.signals import psi_band
-from txlake.operators.ordered import running_totals, value_at_rank
+from txlake.operators.ordered import running_totals, unpivoted, value_at_rank
 
 
-def reference_values(reference: DataFrame, feature: str) -> DataFrame:
-    """A feature's reference column, from a wide frame or a model's ``feature, value`` rows."""
+def reference_cells(reference: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``feature, value`` rows of a wide frame, or of a model's own long table."""
     if {"feature", "value"} <= set(reference.columns):
-        return reference.filter(F.col("feature") == feature).select(F.col("value").alias(feature))
-    return reference
+        return reference.filter(F.col("feature").isin(list(features))).select("feature", "value")
+    return unpivoted(reference, features)
 
 
-def _both_sides(reference: DataFrame, live: DataFrame, feature: str) -> DataFrame:
-    def side(df: DataFrame, ref: int) -> DataFrame:
-        return df.select(
-            F.lit(feature).alias("feature"),
-            F.col(feature).cast("double").alias("value"),
-            F.lit(ref).alias("ref"),
-            F.lit(1 - ref).alias("live"),
-        ).filter(F.col("value").isNotNull())
-
-    return side(reference_values(reference, feature), 1).unionByName(side(live, 0))
+def _both_sides(reference: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
+    one, zero = F.lit(1), F.lit(0)
+    expected = reference_cells(reference, features).select("*", one.alias("ref"), zero.alias("live"))
+    actual = unpivoted(live, features).select("*", zero.alias("ref"), one.alias("live"))
+    return expected.unionByName(actual).filter(F.col("value").isNotNull())
 
 
 def _strictly_rising(edges: Column) -> Column:
@@ -51,8 +47,8 @@ def _strictly_rising(edges: Column) -> Column:
 
 
 def _feature_shape(both: DataFrame, buckets: int) -> DataFrame:
-    """One row: sizes, KS distance and the reference's quantile edges."""
-    totals = running_totals(both, "value", ["ref", "live"])
+    """Per feature: sizes, KS distance and the reference's quantile edges."""
+    totals = running_totals(both, "value", ["ref", "live"], by=["feature"])
     last = F.col("total_ref") - 1
     picks = [
         value_at_rank("value", "cum_ref", F.least(last, F.bround(F.lit(i / buckets) * last)))
@@ -63,7 +59,7 @@ def _feature_shape(both: DataFrame, buckets: int) -> DataFrame:
         F.col("cum_ref") / F.nullif("total_ref", F.lit(0))
         - F.col("cum_live") / F.nullif("total_live", F.lit(0))
     )
-    return totals.agg(
+    return totals.groupBy("feature").agg(
         F.max("total_ref").alias("reference_n"),
         F.max("total_live").alias("live_n"),
         F.max(gap).alias("ks"),
@@ -72,22 +68,25 @@ def _feature_shape(both: DataFrame, buckets: int) -> DataFrame:
 
 
 def feature_drift(
-    reference: DataFrame, live: DataFrame, feature: str, buckets: int = PSI_BUCKETS
+    reference: DataFrame,
+    live: DataFrame,
+    features: Sequence[str] = DRIFT_FEATURES,
+    buckets: int = PSI_BUCKETS,
 ) -> DataFrame:
-    """One row ``feature, psi, ks, reference_n, live_n`` over all rows of both sides.
+    """``feature, psi, ks, reference_n, live_n`` over all rows of both sides.
 
-    An empty side gives PSI and KS of 0; the retraining decision treats it as
-    not comparable.
+    All features go through one set of shuffles. An empty side gives PSI and KS
+    of 0; the retraining decision treats it as not comparable.
     """
-    both = _both_sides(reference, live, feature)
-    shape = _feature_shape(both, buckets).withColumn("feature", F.lit(feature))
-    # The shape is one row per feature, so this join is a map over the rows.
-    above = [
-        (F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(1, buckets)
-    ]
+    both = _both_sides(reference, live, features)
+    # One row per feature, so joining it is a map over the rows; its figures ride along as
+    # grouping keys, which leaves a single use of the costly branch.
+    shape = F.broadcast(_feature_shape(both, buckets))
+    above = [(F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(1, buckets)]
+    figures = ("feature", "ks", "reference_n", "live_n")
     counted = (
-        both.join(F.broadcast(shape.select("feature", "edges")), "feature")
-        .groupBy("feature", reduce(lambda a, b: a + b, above, F.lit(0)).alias("bucket"))
+        both.join(shape, "feature")
+        .groupBy(*figures, reduce(add, above, F.lit(0)).alias("bucket"))
         .agg(F.sum("ref").alias("ref"), F.sum("live").alias("live"))
     )
 
@@ -95,13 +94,14 @@ def feature_drift(
         return F.greatest(F.col(count) / F.nullif(total, F.lit(0)), F.lit(PSI_EPSILON))
 
     expected, actual = share("ref", "reference_n"), share("live", "live_n")
-    psi = (
-        counted.join(F.broadcast(shape.select("feature", "reference_n", "live_n")), "feature")
-        .filter("reference_n > 0 AND live_n > 0")
-        .groupBy("feature")
-        .agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
+    term = F.when(
+        (F.col("reference_n") > 0) & (F.col("live_n") > 0),
+        (actual - expected) * F.log(actual / expected),
     )
-    return shape.join(psi, "feature", "left").select(
+    measured = counted.groupBy(*figures).agg(F.sum(term).alias("psi"))
+    asked = F.explode(F.array(*[F.lit(f) for f in features])).alias("feature")
+    listed = both.sparkSession.range(1).select(asked)
+    return listed.join(measured, "feature", "left").select(
         "feature",
         F.coalesce("psi", F.lit(0.0)).alias("psi"),
         F.coalesce("ks", F.lit(0.0)).alias("ks"),
@@ -113,13 +113,13 @@ def feature_drift(
 def population_stability_index(
     reference: DataFrame, live: DataFrame, feature: str, buckets: int = PSI_BUCKETS
 ) -> DataFrame:
-    return feature_drift(reference, live, feature, buckets).select("feature", "psi")
+    return feature_drift(reference, live, [feature], buckets).select("feature", "psi")
 
 
 def ks_statistic(reference: DataFrame, live: DataFrame, feature: str) -> DataFrame:
     """Largest gap between the two empirical distribution functions."""
-    shape = _feature_shape(_both_sides(reference, live, feature), PSI_BUCKETS)
-    return shape.select(F.lit(feature).alias("feature"), F.coalesce("ks", F.lit(0.0)).alias("ks"))
+    shape = _feature_shape(_both_sides(reference, live, [feature]), PSI_BUCKETS)
+    return shape.select("feature", F.coalesce("ks", F.lit(0.0)).alias("ks"))
 
 
 def drift_report(
@@ -129,8 +129,7 @@ def drift_report(
     run_id: str = "run",
 ) -> DataFrame:
     """Report rows, one per feature: PSI with its band, KS and both sample sizes."""
-    parts = [feature_drift(reference, live, f) for f in features]
-    return reduce(DataFrame.unionByName, parts).select(
+    return feature_drift(reference, live, features).select(
         F.lit(run_id).alias("run_id"),
         "feature",
         F.round("psi", 5).alias("psi"),

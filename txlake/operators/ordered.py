@@ -34,37 +34,50 @@ def value_cuts(df: DataFrame, value: str, chunks: int | None = None) -> list[flo
 
 
 def running_totals(
-    df: DataFrame, value: str, measures: Sequence[str], chunks: int | None = None
+    df: DataFrame,
+    value: str,
+    measures: Sequence[str],
+    by: Sequence[str] = (),
+    chunks: int | None = None,
 ) -> DataFrame:
     """Per distinct ``value``: each measure ``m``, ``cum_m`` (sum up to here), ``total_m``.
 
+    ``by`` restarts the totals per key; it is meant for a handful of keys, such
+    as feature names or class labels, and one key may hold nearly all rows.
     Nulls in ``value`` are left out; NaN sorts last.
     """
+    keys = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(
-        F.col(value).cast("double").alias(value), *measures
+        *keys, F.col(value).cast("double").alias(value), *measures
     )
+    # The cuts are pooled over all keys: a chunk of one key holds no more rows than the pooled one.
     bounds = [float("-inf"), *value_cuts(rows, value, chunks), float("inf")]
-    by_value = rows.groupBy(value).agg(*[F.sum(m).alias(m) for m in measures])
+    by_value = rows.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
     chunked = (
         Bucketizer(splits=bounds, inputCol=value, outputCol="_bucket", handleInvalid="keep")
         .transform(by_value)
         .withColumn("_chunk", F.col("_bucket").cast("int"))
         .drop("_bucket")
     )
-    # One row per chunk, so at most MAX_CHUNKS + 1 rows are windowed whole and broadcast.
-    below = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    chunk_sums = chunked.groupBy("_chunk").agg(*[F.sum(m).alias(m) for m in measures])
+    # One row per key and chunk: at most MAX_CHUNKS + 1 rows per key are windowed and broadcast.
+    whole = Window.partitionBy(*keys)
+    below = whole.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunk_sums = chunked.groupBy(*keys, "_chunk").agg(*[F.sum(m).alias(m) for m in measures])
     offsets = chunk_sums.select(
+        *keys,
         "_chunk",
         *[F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_below_{m}") for m in measures],
-        *[F.sum(m).over(everything).alias(f"total_{m}") for m in measures],
+        *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
     )
-    inside = Window.partitionBy("_chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    local = chunked.select(
-        "*", *[F.sum(m).over(inside).alias(f"_local_{m}") for m in measures]
+    inside = (
+        Window.partitionBy(*keys, "_chunk")
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return local.join(F.broadcast(offsets), "_chunk").select(
+    local = chunked.select("*", *[F.sum(m).over(inside).alias(f"_local_{m}") for m in measures])
+    # A left join, because an inner one would push a null check of the chunk down to the raw rows.
+    return local.join(F.broadcast(offsets), [*keys, "_chunk"], "left").select(
+        *keys,
         value,
         *measures,
         *[(F.col(f"_below_{m}") + F.col(f"_local_{m}")).alias(f"cum_{m}") for m in measures],
@@ -72,28 +85,44 @@ def running_totals(
     )
 
 
+def unpivoted(df: DataFrame, features: Sequence[str], *kept: str | Column) -> DataFrame:
+    """``feature, value`` rows, one per feature and row, in a single scan."""
+    cells = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
+                for f in features
+            ]
+        )
+    )
+    return df.select(cells.alias("_cell"), *kept).select("_cell.*", "*").drop("_cell")
+
+
 def value_at_rank(value: str, cumulative: str, index: Column) -> Column:
     """Aggregate: the value at a 0-based rank, from a running-totals table."""
     return F.min(F.when(F.col(cumulative) > index, F.col(value)))
 
 
-def deciles(df: DataFrame, value: str, places: int = 6) -> DataFrame:
-    """``decile`` 0-10 and its value, interpolated linearly between neighbouring ranks."""
-    totals = running_totals(df.withColumn("_one", F.lit(1)), value, ["_one"])
-    last = F.col("total__one") - 1
+def deciles(df: DataFrame, features: Sequence[str], places: int = 6) -> DataFrame:
+    """``feature, decile`` 0-10 and ``value``, interpolated between neighbouring ranks."""
+    cells = unpivoted(df, features, F.lit(1).alias("n"))
+    totals = running_totals(cells, "value", ["n"], by=["feature"])
+    last = F.col("total_n") - 1
     picks = []
     for q in range(11):
         position = F.lit(q / 10) * last
-        picks.append(value_at_rank(value, "cum__one", F.floor(position)).alias(f"lo{q}"))
-        picks.append(value_at_rank(value, "cum__one", F.ceil(position)).alias(f"hi{q}"))
-    picked = totals.agg(F.max(last).alias("last"), *picks)
+        picks.append(value_at_rank("value", "cum_n", F.floor(position)).alias(f"lo{q}"))
+        picks.append(value_at_rank("value", "cum_n", F.ceil(position)).alias(f"hi{q}"))
+    picked = totals.groupBy("feature").agg(F.max(last).alias("last"), *picks)
     lines = []
     for q in range(11):
         position = F.lit(q / 10) * F.col("last")
         low, high = F.col(f"lo{q}"), F.col(f"hi{q}")
         at = F.round(low + (high - low) * (position - F.floor(position)), places)
         lines.append(F.struct(F.lit(q).alias("decile"), at.alias("value")))
-    return picked.select(F.explode(F.array(*lines)).alias("d")).select("d.decile", "d.value")
+    return picked.select("feature", F.explode(F.array(*lines)).alias("d")).select(
+        "feature", "d.decile", "d.value"
+    )
 
 
 def empirical_cdf(df: DataFrame, value: str) -> DataFrame:

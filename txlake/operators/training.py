@@ -44,16 +44,13 @@ def stratified_split(
     holding nearly all rows is never sorted in one task.
     """
     rows = silver.filter(F.col(label).isNotNull()).withColumn("_draw", draw("transaction_id", seed))
-    cuts = None
-    for value in (True, False):
-        totals = running_totals(
-            rows.filter(F.col(label) == value).select("_draw", F.lit(1).alias("n")), "_draw", ["n"]
-        )
-        wanted = F.ceil(F.col("total_n") * F.lit(share)) - 1
-        cut = totals.agg(value_at_rank("_draw", "cum_n", wanted).alias("_cut")).select(
-            F.lit(value).alias(label), "_cut"
-        )
-        cuts = cut if cuts is None else cuts.unionByName(cut)
+    draws = rows.select(label, "_draw", F.lit(1).alias("n"))
+    wanted = F.ceil(F.col("total_n") * F.lit(share)) - 1
+    cuts = (
+        running_totals(draws, "_draw", ["n"], by=[label])
+        .groupBy(label)
+        .agg(value_at_rank("_draw", "cum_n", wanted).alias("_cut"))
+    )
     # two rows, one per class
     return (
         rows.join(F.broadcast(cuts), label)
@@ -116,8 +113,8 @@ def train(
     ).first()
     counts = split.agg(F.count(F.lit(1)), F.count_if(label)).first()
     quantiles = {
-        "fraud_score": _listed(deciles(scored_train, "fraud_score")),
-        "amount_pln": _listed(deciles(split, "amount_pln")),
+        **_listed(deciles(scored_train, ["fraud_score"])),
+        **_listed(deciles(split, ["amount_pln"])),
     }
     metadata = {
         "kind": scorer.kind,
@@ -146,8 +143,12 @@ def train(
     return spark.read.json(f"{path}/metadata")
 
 
-def _listed(decile_rows: DataFrame) -> list[float]:
-    return [r["value"] for r in decile_rows.orderBy("decile").collect()]
+def _listed(decile_rows: DataFrame) -> dict[str, list[float]]:
+    """Eleven values per feature, as the metadata keeps them."""
+    found: dict[str, list[float]] = {}
+    for row in decile_rows.orderBy("feature", "decile").collect():
+        found.setdefault(row["feature"], []).append(row["value"])
+    return found
 
 
 def load_model(spark: SparkSession, path: str) -> Scorer:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.constants import (
+    DRIFT_FEATURES,
     HEURISTIC_INTERCEPT,
     HEURISTIC_WEIGHTS,
     SILVER_COLUMNS,
@@ -23,7 +24,7 @@ from txlake.constants import (
 from txlake.functions.clock import utc_day, utc_wall_clock
 from txlake.functions.rules import standard_rules
 from txlake.functions.signals import psi_band
-from txlake.functions.wire import wire_errors
+from txlake.functions.wire import with_wire_errors
 from txlake.operators import drift, evaluation, gold, ordered, quality, scoring, silver, training
 from txlake.operators.bronze import build_bronze_frame, encode_wire, ingest_run_stats
 from txlake.plans import jobs, serving
@@ -92,9 +93,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wire_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev_envelope(spark, sf_dir).select(
-        "partition", "offset", F.array_join(wire_errors(F.col("value")), "; ").alias("errors")
-    )
+    checked = with_wire_errors(ev_envelope(spark, sf_dir).select("partition", "offset", "value"))
+    return checked.select("partition", "offset", F.array_join("errors", "; ").alias("errors"))
 
 
 def _tx_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,9 +105,8 @@ def _tx_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wire_validate_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tx_wire(spark, sf_dir).select(
-        "_offset", F.array_join(wire_errors(F.col("value")), "; ").alias("errors")
-    )
+    checked = with_wire_errors(_tx_wire(spark, sf_dir))
+    return checked.select("_offset", F.array_join("errors", "; ").alias("errors"))
 
 
 def wire_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,9 +305,8 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = _drift_runs(spark, sf_dir)
-    runs = report.select("run_id").distinct().unionByName(
-        Lake(spark, sf_dir).scored().select(F.lit("no_report").alias("run_id")).distinct()
-    )
+    names = [("as_is",), ("shifted",), ("no_reference",), ("no_report",)]
+    runs = spark.createDataFrame(names, "run_id STRING")
     decided = drift.decide_retraining(runs, report)
     return decided.select("run_id", "verdict", "should_retrain", "reason", "triggered_by", "not_comparable")
 
@@ -319,12 +317,7 @@ def empirical_cdf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = Lake(spark, sf_dir).scored()
-    parts = [
-        ordered.deciles(scored, name).select(F.lit(name).alias("feature"), "decile", "value")
-        for name in ("fraud_score", "amount_pln")
-    ]
-    return parts[0].unionByName(parts[1])
+    return ordered.deciles(Lake(spark, sf_dir).scored(), DRIFT_FEATURES)
 
 
 # --- model ------------------------------------------------------------------- #
@@ -376,13 +369,14 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for name, path in held.items():
         restored = spark.read.parquet(f"{base}/restored/{name}")
-        same = snapshot.fingerprint(spark.read.parquet(path)).exceptAll(snapshot.fingerprint(restored))
+        source = snapshot.fingerprint(spark.read.parquet(path)).first()
+        same = source == snapshot.fingerprint(restored).first()
         parts.append(
             restored.agg(
                 F.lit(name).alias("table_name"),
                 F.count(F.lit(1)).alias("n_rows"),
                 F.sum(F.col("amount_pln").cast("decimal(18,2)")).cast("double").alias("amount_pln"),
-                F.lit(same.isEmpty()).alias("identical"),
+                F.lit(same).alias("identical"),
             )
         )
     return parts[0].unionByName(parts[1])

@@ -34,19 +34,13 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def _manifest_rows(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    parts = [
-        fingerprint(spark.read.parquet(path)).select(F.lit(name).alias("table"), "*")
-        for name, path in tables.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def _signature(df: DataFrame) -> tuple:
+    return tuple(fingerprint(df).first())
 
 
-def _differs(left: DataFrame, right: DataFrame) -> bool:
-    return not left.exceptAll(right).isEmpty() or not right.exceptAll(left).isEmpty()
+def _signatures(spark: SparkSession, tables: dict[str, str]) -> dict[str, tuple]:
+    """Fingerprint per table: a handful of rows, one scan of each table."""
+    return {name: _signature(spark.read.parquet(path)) for name, path in tables.items()}
 
 
 def snapshot_tables(
@@ -64,25 +58,25 @@ def snapshot_tables(
     if shared.child_names(spark, destination):
         raise ValueError("snapshot destination is not empty")
     held = {
-        name: inventory(spark, path)
+        name: _signature(inventory(spark, path))
         for name, path in tables.items()
         if shared.child_names(spark, path)
     }
-    before = {name: shared.stage(files, "inventory") for name, files in held.items()}
-    if all(files.isEmpty() for files in before.values()):
+    filled = {name: tables[name] for name, files in held.items() if files[0] > 0}
+    if not filled:
         raise ValueError("no table data to snapshot")
-    filled = {name: tables[name] for name, files in before.items() if not files.isEmpty()}
     for name, path in filled.items():
         spark.read.parquet(path).write.parquet(f"{destination}/{name}")
+    taken = _signatures(spark, filled)
     for name, path in filled.items():
-        if _differs(before[name], inventory(spark, path)):
+        if held[name] != _signature(inventory(spark, path)):
             raise ValueError("source changed during the snapshot; no manifest was written")
-    copies = {name: f"{destination}/{name}" for name in filled}
-    manifest = shared.stage(_manifest_rows(spark, filled), "manifest")
-    if _differs(manifest, _manifest_rows(spark, copies)):
+    if taken != _signatures(spark, {name: f"{destination}/{name}" for name in filled}):
         raise ValueError("copy differs from its source; no manifest was written")
+    lines = [(name, *signature) for name, signature in taken.items()]
+    manifest = spark.createDataFrame(lines, _MANIFEST_DDL)
     manifest.coalesce(1).write.parquet(f"{destination}/{_MANIFEST}")
-    return spark.read.schema(_MANIFEST_DDL).parquet(f"{destination}/{_MANIFEST}")
+    return manifest
 
 
 def verify_snapshot(spark: SparkSession, directory: str) -> list[str]:
@@ -91,15 +85,15 @@ def verify_snapshot(spark: SparkSession, directory: str) -> list[str]:
         raise ValueError("not a complete snapshot: manifest missing")
     manifest = spark.read.schema(_MANIFEST_DDL).parquet(f"{directory}/{_MANIFEST}")
     # one row per table of the lakehouse
-    names = sorted(row["table"] for row in manifest.select("table").collect())
-    if not names:
+    listed = {row["table"]: tuple(row)[1:] for row in manifest.collect()}
+    if not listed:
         raise ValueError("snapshot manifest is empty")
-    missing = [n for n in names if not shared.child_names(spark, f"{directory}/{n}")]
+    missing = [n for n in listed if not shared.child_names(spark, f"{directory}/{n}")]
     if missing:
-        raise ValueError(f"snapshot lacks tables: {', '.join(missing)}")
-    if _differs(manifest, _manifest_rows(spark, {n: f"{directory}/{n}" for n in names})):
+        raise ValueError(f"snapshot lacks tables: {', '.join(sorted(missing))}")
+    if listed != _signatures(spark, {n: f"{directory}/{n}" for n in listed}):
         raise ValueError("snapshot differs from its manifest")
-    return names
+    return sorted(listed)
 
 
 def restore_tables(
