@@ -53,8 +53,13 @@ def passes(rules: Sequence[Rule]) -> Column:
     return reduce(and_, (holds(cond) for _, cond in rules))
 
 
+def without_nulls(entries: Sequence[Column]) -> Column:
+    """The non-null texts among distinct ones, in order; stays in generated code."""
+    return F.array_except(F.array(*entries), F.array(F.lit(None).cast("string")))
+
+
 def broken_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row breaks, in rule order (empty array when clean)."""
     tags = [F.when(~holds(cond), F.lit(name)) for name, cond in rules]
     clean = F.array().cast("array<string>")
-    return F.when(passes(rules), clean).otherwise(F.array_compact(F.array(*tags)))
+    return F.when(passes(rules), clean).otherwise(without_nulls(tags))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.constants import CHANNELS, COUNTRIES, CURRENCIES, MERCHANT_CATEGORIES, WIRE_FIELDS
+from txlake.functions.rules import without_nulls
 
 VOCABULARIES = {
     "currency": CURRENCIES,
@@ -21,28 +22,33 @@ VOCABULARIES = {
 # Fixed patterns: the calendar and week forms of an ISO 8601 date-time.
 _TIME = r"([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.,]\d+)?)?)?"
 _ZONE = r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d(\.\d+)?)?)?)?"
-_CALENDAR = r"^(\d{4}-\d{2}-\d{2}|\d{8})(." + _TIME + _ZONE + r")?$"
-_WEEK = r"^\d{4}-?W\d{2}(-?[1-7])?(." + _TIME + _ZONE + r")?$"
+_REST = "(." + _TIME + _ZONE + ")?$"
+_EXTENDED = r"^\d{4}-\d{2}-\d{2}" + _REST
+_BASIC = r"^\d{8}" + _REST
+_WEEK = r"^\d{4}-?W\d{2}(-?[1-7])?" + _REST
 _NUMBER = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
 def is_iso8601(text: Column) -> Column:
-    """Whether a text is an ISO 8601 date-time, offsets optional."""
-    digits = F.regexp_replace(F.substring(text, 1, 10), "-", "")
-    day = F.concat_ws(
-        "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
-    )
-    year = F.substring(text, 1, 4)
+    """Whether a text is an ISO 8601 date-time, offsets optional.
+
+    The pattern fixes the layout; a cast then refuses days no month has.
+    """
+
+    def piece(start: int, length: int) -> Column:
+        return F.substring(text, start, length)
+
+    def is_day(shown: Column) -> Column:
+        return shown.try_cast("date").isNotNull()
+
     week = F.regexp_extract(text, r"W(\d{2})", 1).try_cast("int")
-    last_week = F.weekofyear(F.concat(year, F.lit("-12-28")).try_cast("date"))
-    return F.coalesce(
-        (year > "0000")
-        & (
-            (text.rlike(_CALENDAR) & day.try_cast("date").isNotNull())
-            | (text.rlike(_WEEK) & week.between(1, last_week))
-        ),
-        F.lit(False),
+    last_week = F.weekofyear(F.concat(piece(1, 4), F.lit("-12-28")).try_cast("date"))
+    known = (
+        F.when(text.rlike(_EXTENDED), is_day(piece(1, 10)))
+        .when(text.rlike(_BASIC), is_day(F.concat_ws("-", piece(1, 4), piece(5, 2), piece(7, 2))))
+        .when(text.rlike(_WEEK), week.between(1, last_week))
     )
+    return F.coalesce(known & (text >= "0001"), F.lit(False))
 
 
 def _float_text(number: Column) -> Column:
@@ -102,8 +108,7 @@ def _messages() -> Column:
             .otherwise(F.coalesce(text, F.to_json(f"_v_{field}")))
         )
 
-    absent = F.array_compact(F.array(*[F.when(~present(f), F.lit(f)) for f in WIRE_FIELDS]))
-    missing = F.array_join(absent, ", ")
+    missing = F.concat_ws(", ", *[F.when(~present(f), F.lit(f)) for f in WIRE_FIELDS])
     extra = F.array_join(F.array_sort("_extra"), ", ")
     checks = [
         F.when(F.length(missing) > 0, F.concat(F.lit("missing fields: "), missing)),
@@ -157,5 +162,5 @@ def _messages() -> Column:
             ~shape.startswith("OBJECT"),
             F.array(F.concat(F.lit("record must be a dict, got "), kind_name)),
         )
-        .otherwise(F.array_compact(F.array(*checks)))
+        .otherwise(without_nulls(checks))
     )

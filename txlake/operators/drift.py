@@ -48,12 +48,12 @@ def _strictly_rising(edges: Column) -> Column:
 
 def _feature_shape(both: DataFrame, buckets: int) -> DataFrame:
     """Per feature: sizes, KS distance and the reference's quantile edges."""
-    totals = running_totals(both, "value", ["ref", "live"], by=["feature"])
     last = F.col("total_ref") - 1
-    picks = [
-        value_at_rank("value", "cum_ref", F.least(last, F.bround(F.lit(i / buckets) * last)))
-        for i in range(buckets)
-    ]
+    ranks = {
+        f"_rank{i}": F.least(last, F.bround(F.lit(i / buckets) * last)) for i in range(buckets)
+    }
+    totals = running_totals(both, "value", ["ref", "live"], by=["feature"], per_key=ranks)
+    picks = [value_at_rank("value", "cum_ref", F.col(r)) for r in ranks]
     highest = F.max(F.when(F.col("ref") > 0, F.col("value")))
     gap = F.abs(
         F.col("cum_ref") / F.nullif("total_ref", F.lit(0))

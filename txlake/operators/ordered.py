@@ -38,13 +38,15 @@ def running_totals(
     value: str,
     measures: Sequence[str],
     by: Sequence[str] = (),
+    per_key: dict[str, Column] | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """Per distinct ``value``: each measure ``m``, ``cum_m`` (sum up to here), ``total_m``.
 
     ``by`` restarts the totals per key; it is meant for a handful of keys, such
     as feature names or class labels, and one key may hold nearly all rows.
-    Nulls in ``value`` are left out; NaN sorts last.
+    ``per_key`` adds columns computed from the ``total_m`` columns, once per
+    chunk instead of once per row. Nulls in ``value`` are left out; NaN sorts last.
     """
     keys = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(
@@ -68,7 +70,7 @@ def running_totals(
         "_chunk",
         *[F.coalesce(F.sum(m).over(below), F.lit(0)).alias(f"_below_{m}") for m in measures],
         *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures],
-    )
+    ).withColumns(per_key or {})
     inside = (
         Window.partitionBy(*keys, "_chunk")
         .orderBy(value)
@@ -82,6 +84,7 @@ def running_totals(
         *measures,
         *[(F.col(f"_below_{m}") + F.col(f"_local_{m}")).alias(f"cum_{m}") for m in measures],
         *[f"total_{m}" for m in measures],
+        *(per_key or {}),
     )
 
 
@@ -106,13 +109,11 @@ def value_at_rank(value: str, cumulative: str, index: Column) -> Column:
 def deciles(df: DataFrame, features: Sequence[str], places: int = 6) -> DataFrame:
     """``feature, decile`` 0-10 and ``value``, interpolated between neighbouring ranks."""
     cells = unpivoted(df, features, F.lit(1).alias("n"))
-    totals = running_totals(cells, "value", ["n"], by=["feature"])
     last = F.col("total_n") - 1
-    picks = []
-    for q in range(11):
-        position = F.lit(q / 10) * last
-        picks.append(value_at_rank("value", "cum_n", F.floor(position)).alias(f"lo{q}"))
-        picks.append(value_at_rank("value", "cum_n", F.ceil(position)).alias(f"hi{q}"))
+    ranks = {f"_lo{q}": F.floor(F.lit(q / 10) * last) for q in range(11)}
+    ranks |= {f"_hi{q}": F.ceil(F.lit(q / 10) * last) for q in range(11)}
+    totals = running_totals(cells, "value", ["n"], by=["feature"], per_key=ranks)
+    picks = [value_at_rank("value", "cum_n", F.col(r)).alias(r[1:]) for r in ranks]
     picked = totals.groupBy("feature").agg(F.max(last).alias("last"), *picks)
     lines = []
     for q in range(11):

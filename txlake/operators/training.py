@@ -45,11 +45,11 @@ def stratified_split(
     """
     rows = silver.filter(F.col(label).isNotNull()).withColumn("_draw", draw("transaction_id", seed))
     draws = rows.select(label, "_draw", F.lit(1).alias("n"))
-    wanted = F.ceil(F.col("total_n") * F.lit(share)) - 1
+    wanted = {"_last": F.ceil(F.col("total_n") * F.lit(share)) - 1}
     cuts = (
-        running_totals(draws, "_draw", ["n"], by=[label])
+        running_totals(draws, "_draw", ["n"], by=[label], per_key=wanted)
         .groupBy(label)
-        .agg(value_at_rank("_draw", "cum_n", wanted).alias("_cut"))
+        .agg(value_at_rank("_draw", "cum_n", F.col("_last")).alias("_cut"))
     )
     # two rows, one per class
     return (

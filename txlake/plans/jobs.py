@@ -24,9 +24,10 @@ class GateFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Layout:
-    """Where one lakehouse keeps its tables."""
+    """Where one lakehouse keeps its tables, and the unit its event tables are cut by."""
 
     root: str
+    unit: str = "day"
 
     @property
     def bronze(self) -> str:
@@ -74,7 +75,8 @@ def run_silver(
     tagged.write.partitionBy("is_valid").parquet(staging)
     tagged = spark.read.schema(tagged.schema).parquet(staging)
 
-    tables.upsert_silver(spark, silver.deduplicate(silver.valid_rows(tagged)), layout.silver)
+    latest = silver.deduplicate(silver.valid_rows(tagged))
+    tables.upsert_silver(spark, latest, layout.silver, unit=layout.unit)
     rejected = silver.quarantined_rows(tagged)
     quarantined = rejected.count()
     if quarantined:
@@ -110,21 +112,20 @@ def require_gate(
 
 
 def write_aggregates(silver_rows: DataFrame, layout: Layout) -> None:
-    day = tables.PARTITION
-    for name, rows, partition in (
-        ("daily_volume_by_country", gold.daily_volume_by_country(silver_rows), day),
+    for name, rows, unit in (
+        ("daily_volume_by_country", gold.daily_volume_by_country(silver_rows), layout.unit),
         ("merchant_category_kpi", gold.merchant_category_kpi(silver_rows), None),
-        ("account_velocity", gold.account_velocity(silver_rows), day),
-        ("fraud_signals", gold.fraud_signals(silver_rows), day),
+        ("account_velocity", gold.account_velocity(silver_rows), layout.unit),
+        ("fraud_signals", gold.fraud_signals(silver_rows), layout.unit),
     ):
-        tables.write_gold(rows, f"{layout.gold}/{name}", partition)
+        tables.write_gold(rows, f"{layout.gold}/{name}", unit)
 
 
 def write_scores(
     silver_rows: DataFrame, layout: Layout, scorer: Scorer, threshold: float | None
 ) -> None:
     scored = add_fraud_scores(silver_rows, scorer, threshold)
-    tables.write_gold(scored, f"{layout.gold}/scored_transactions", tables.PARTITION)
+    tables.write_gold(scored, f"{layout.gold}/scored_transactions", layout.unit)
 
 
 def write_drift(

@@ -18,6 +18,14 @@ from txlake.constants import GOLD_TABLES, HORIZON_DAYS, SILVER_COLUMNS
 from txlake.sources import shared
 
 PARTITION = "event_date"
+# Partition column by unit. A day is the default; a table with little data per day is better
+# cut by month or year, whose column holds the first day of the unit.
+UNITS = {"day": PARTITION, "month": "event_month", "year": "event_year"}
+
+
+def placed(df: DataFrame, unit: str = "day") -> DataFrame:
+    """Add the partition column of a unit coarser than a day."""
+    return df if unit == "day" else df.withColumn(UNITS[unit], F.trunc(PARTITION, unit))
 
 
 def horizon_filter(bronze: DataFrame, as_of: date, horizon_days: int = HORIZON_DAYS) -> DataFrame:
@@ -42,8 +50,9 @@ def _rebalanced(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", partition)
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str = PARTITION) -> None:
-    _rebalanced(df, partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+def write_partitioned(df: DataFrame, path: str, unit: str = "day") -> None:
+    partition = UNITS[unit]
+    _rebalanced(placed(df, unit), partition).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def merged_rows(target: DataFrame, source: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -57,17 +66,23 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_silver(
-    spark: SparkSession, valid: DataFrame, path: str, key: str = "transaction_id"
+    spark: SparkSession,
+    valid: DataFrame,
+    path: str,
+    key: str = "transaction_id",
+    unit: str = "day",
 ) -> None:
-    """Insert or replace rows by key in a table partitioned by ``event_date``.
+    """Insert or replace rows by key in a table partitioned by event day (or ``unit``).
 
-    ``valid`` must hold each key once. Only the days it touches are rewritten:
-    its own days and those holding an older copy of one of its keys, which may
-    have moved day.
+    ``valid`` must hold each key once. Only the partitions it touches are
+    rewritten: its own and those holding an older copy of one of its keys,
+    which may have moved day.
     """
+    partition = UNITS[unit]
+    valid = placed(valid, unit)
     publish_pending(spark, path)
     if not shared.exists(spark, f"{path}/_SUCCESS"):
-        clustered(valid).write.mode("overwrite").partitionBy(PARTITION).parquet(path)
+        clustered(valid).write.mode("overwrite").partitionBy(partition).parquet(path)
         return
     # read three times below, so kept once instead of being derived three times
     batch_path = shared.fresh_path(spark, "batch")
@@ -75,39 +90,44 @@ def upsert_silver(
     valid = spark.read.schema(valid.schema).parquet(batch_path)
     target = spark.read.schema(valid.schema).parquet(path).select(*valid.columns)
     replaced = target.join(valid.select(key), key, "left_semi")
-    touched_days = valid.select(PARTITION).union(replaced.select(PARTITION)).distinct()
+    touched_days = valid.select(partition).union(replaced.select(partition)).distinct()
     # Calendar days, not rows: a bounded list that becomes a partition filter.
     days = [row[0] for row in touched_days.collect()]
-    touched = target.filter(F.col(PARTITION).isin(days))
-    _replace_days(spark, merged_rows(touched, valid, key), path, days)
+    touched = target.filter(F.col(partition).isin(days))
+    _replace_days(spark, merged_rows(touched, valid, key), path, partition, days)
     shared.delete(spark, batch_path)
 
 
-def optimize_silver(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> None:
-    """Compact and re-cluster by account the given days, or every day of the table."""
+def optimize_silver(
+    spark: SparkSession, path: str, days: Sequence[date] | None = None, unit: str = "day"
+) -> None:
+    """Compact and re-cluster by account the given partitions, or all of the table."""
+    partition = UNITS[unit]
     publish_pending(spark, path)
     if not shared.exists(spark, f"{path}/_SUCCESS"):
         return
-    silver = read_silver(spark, path)
+    silver = spark.read.parquet(path)
     if days is None:
-        prefix = f"{PARTITION}="
+        prefix = f"{partition}="
         names = [n for n in shared.child_names(spark, path) if n.startswith(prefix)]
         days = [date.fromisoformat(n.removeprefix(prefix)) for n in names]
     else:
-        silver = silver.filter(F.col(PARTITION).isin(list(days)))
-    _replace_days(spark, silver, path, days)
+        silver = silver.filter(F.col(partition).isin(list(days)))
+    _replace_days(spark, silver, path, partition, days)
 
 
 def _pending_path(path: str) -> str:
     return f"{path.rstrip('/')}.__pending"
 
 
-def _replace_days(spark: SparkSession, rows: DataFrame, path: str, days: Sequence[date]) -> None:
+def _replace_days(
+    spark: SparkSession, rows: DataFrame, path: str, partition: str, days: Sequence[date]
+) -> None:
     pending = _pending_path(path)
     # A staging folder without its plan was cut short, and is written again.
     shared.delete(spark, pending)
-    clustered(rows).write.partitionBy(PARTITION).parquet(f"{pending}/rows")
-    listed = {f"{PARTITION}={d.isoformat()}" for d in days}
+    clustered(rows).write.partitionBy(partition).parquet(f"{pending}/rows")
+    listed = {f"{partition}={d.isoformat()}" for d in days}
     filled = listed & set(shared.child_names(spark, f"{pending}/rows"))
     plan = {"filled": sorted(filled), "emptied": sorted(listed - filled)}
     spark.createDataFrame([(json.dumps(plan),)], "plan STRING").coalesce(1).write.text(
@@ -169,10 +189,10 @@ def clustered(silver: DataFrame) -> DataFrame:
     return silver.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def write_gold(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Replace a gold table, its schema included."""
-    if partition:
-        write_partitioned(df, path, partition)
+def write_gold(df: DataFrame, path: str, unit: str | None = None) -> None:
+    """Replace a gold table, its schema included; partitioned by event day or unit when given."""
+    if unit:
+        write_partitioned(df, path, unit)
     else:
         df.write.mode("overwrite").parquet(path)
     df.sparkSession.catalog.refreshByPath(path)
