@@ -60,6 +60,4 @@ def without_nulls(entries: Sequence[Column]) -> Column:
 
 def broken_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row breaks, in rule order (empty array when clean)."""
-    tags = [F.when(~holds(cond), F.lit(name)) for name, cond in rules]
-    clean = F.array().cast("array<string>")
-    return F.when(passes(rules), clean).otherwise(without_nulls(tags))
+    return without_nulls([F.when(~holds(cond), F.lit(name)) for name, cond in rules])

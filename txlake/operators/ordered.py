@@ -18,7 +18,8 @@ MAX_CHUNKS = 4096
 
 
 def _chunk_count(df: DataFrame) -> int:
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Several chunks per shuffle partition, so that hashing spreads them evenly."""
+    wanted = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(8, min(wanted, MAX_CHUNKS))
 
 

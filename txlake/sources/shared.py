@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a fresh local one only on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

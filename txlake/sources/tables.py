@@ -57,7 +57,7 @@ def write_partitioned(df: DataFrame, path: str, unit: str = "day") -> None:
 
 def merged_rows(target: DataFrame, source: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Upsert as a query: all of ``source`` and the ``target`` rows it does not replace."""
-    kept = target.join(source.select(key).distinct(), key, "left_anti")
+    kept = target.join(source.select(key), key, "left_anti")
     return source.unionByName(kept.select(*source.columns))
 
 
