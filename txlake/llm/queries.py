@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import chat, decontaminate, packing, secrets, simhash, tokencount
+from txlake.llm import chat, decontaminate, flatgraph, packing, quality, secrets, simhash, sitetree, tokencount, toxicity
 from txlake.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sitetree.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -75,6 +80,10 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,13 +93,25 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_html": op2_html,
     "op3_chat": op3_chat,
     "op4_secrets": op4_secrets,
     "op5_tokens": op5_tokens,
+    "op6_embeddings": op6_embeddings,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 #: DuckDB statements of the queries that SQL can express.
