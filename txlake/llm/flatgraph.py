@@ -114,10 +114,12 @@ def build(x: np.ndarray, g: Graph) -> list[np.ndarray]:
     pairs = np.array([(i, j) for i, e in enumerate(out) for j in e if j >= 0], np.int64).reshape(-1, 2)
     pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]), axis=0)
     lists = np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, n)))
+    first = np.array([e[0] for e in out])
     for i, e in enumerate(lists):
         if len(e) > 2 * g.degree:
-            e = robust_prune(x, np.array([i]), e[None, :], 2 * g.degree, 1.0)[0]
-            lists[i] = e[e >= 0]
+            kept = robust_prune(x, np.array([i]), e[None, :], 2 * g.degree, 1.0)[0]
+            # those whose nearest neighbour this is stay, so that an edge leads to every node
+            lists[i] = np.union1d(kept[kept >= 0], np.flatnonzero(first == i))
     return lists
 
 
