@@ -278,7 +278,9 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, g: Graph = Graph()) ->
     valid = rows.where("ok")
     classes = stage(valid.groupBy("vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")), "vectors")
     width = classes.agg(F.max(F.size("vec"))).collect()[0][0] or 0
-    for _ in range(g.attempts):
+    found = classes.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))
+    counted = found.select("node", "links")
+    for _ in range(g.attempts if width else 0):  # without a usable vector there is nothing to search
         found = stage(_search_shards(classes, width, cosine, g), "found")
         counted = stage(found.groupBy("node").agg(F.sum("links").alias("links")), "counted")
         if audit(classes, counted, width, cosine, g) >= g.aim:
