@@ -11,6 +11,9 @@ from txlake.sources import shared, snapshot, tables
 from txlake.sources.fx import fx_rates
 
 
+MARKERS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
 def contents(spark, path):
     rows = tables.read_silver(spark, path).orderBy("transaction_id").collect()
     return [(r.transaction_id, r.event_date.day, r.amount) for r in rows]
@@ -107,6 +110,9 @@ def test_quarantine_appends_and_can_skip_known_rows(spark, folder):
     assert tables.append_quarantine(rejected, path)
     assert tables.append_quarantine(rejected, path)
     assert tables.append_quarantine(rejected, path, seen_keys=["transaction_id", "_offset"]) is False
+    unnamed = rejected.withColumn("transaction_id", F.lit(None).cast("string"))
+    assert tables.append_quarantine(unnamed, f"{path}2", seen_keys=["transaction_id", "_offset"])
+    assert tables.append_quarantine(unnamed, f"{path}2", seen_keys=["transaction_id", "_offset"]) is False
     assert tables.read_quarantine(spark, path).count() == 4
     rejected.withColumn("note", F.lit("new")).write.mode("append").parquet(path)
     assert "note" in tables.read_quarantine(spark, path).columns
@@ -125,16 +131,19 @@ def test_gold_views(spark, folder):
 
 
 def test_snapshot_and_restore(spark, folder):
-    held = {"silver": f"{folder}/silver", "gold": f"{folder}/gold", "absent": f"{folder}/absent"}
+    held = {"silver": f"{folder}/silver", "gold": f"{folder}/gold"}
     with pytest.raises(ValueError, match="writers"):
         snapshot.snapshot_tables(spark, held, f"{folder}/s", writers_paused=False)
-    with pytest.raises(ValueError, match="no table data"):
+    with pytest.raises(ValueError, match="no folder for: gold, silver"):
         snapshot.snapshot_tables(spark, held, f"{folder}/s", writers_paused=True)
     tables.upsert_silver(spark, silver_rows(spark, at(1, "a"), at(2, "b")), held["silver"])
+    with pytest.raises(ValueError, match="no folder for: gold"):
+        snapshot.snapshot_tables(spark, held, f"{folder}/s", writers_paused=True)
+    assert not shared.exists(spark, f"{folder}/s")
     spark.range(3).write.parquet(held["gold"])
     manifest = snapshot.snapshot_tables(spark, held, f"{folder}/s", writers_paused=True)
     assert {r["table"]: r["rows"] for r in manifest.collect()} == {"silver": 2, "gold": 3}
-    with pytest.raises(ValueError, match="not empty"):
+    with pytest.raises(ValueError, match="already holds files"):
         snapshot.snapshot_tables(spark, held, f"{folder}/s", writers_paused=True)
     names = snapshot.restore_tables(
         spark, f"{folder}/s", f"{folder}/back", partitions={"silver": "event_date"}
@@ -158,6 +167,62 @@ def test_a_change_during_the_copy_is_noticed(spark, folder, monkeypatch):
         return real(session, found)
 
     monkeypatch.setattr(snapshot, "_signatures", meddling)
-    with pytest.raises(ValueError, match="changed during"):
+    with pytest.raises(ValueError, match="written to while"):
         snapshot.snapshot_tables(spark, {"gold": f"{folder}/gold"}, f"{folder}/s", writers_paused=True)
     assert not shared.exists(spark, f"{folder}/s/_manifest")
+
+
+@pytest.fixture(params=[True, False])
+def success_markers(spark, request):
+    """Clusters may turn the marker files of finished jobs off."""
+    spark._jsc.hadoopConfiguration().set(MARKERS, str(request.param).lower())
+    yield request.param
+    spark._jsc.hadoopConfiguration().unset(MARKERS)
+
+
+def test_upserts_do_not_need_success_markers(spark, folder, success_markers):
+    path = f"{folder}/silver"
+    for marked_first in (False, True):
+        if marked_first:  # a table from before the markers were turned off
+            spark._jsc.hadoopConfiguration().set(MARKERS, "true")
+        tables.upsert_silver(spark, silver_rows(spark, at(1, "a"), at(2, "b")), f"{path}{marked_first}")
+        spark._jsc.hadoopConfiguration().set(MARKERS, str(success_markers).lower())
+        tables.upsert_silver(spark, silver_rows(spark, at(3, "b", 7.0), at(3, "c")), f"{path}{marked_first}")
+        assert contents(spark, f"{path}{marked_first}") == [("a", 1, 100.0), ("b", 3, 7.0), ("c", 3, 100.0)]
+        tables.optimize_silver(spark, f"{path}{marked_first}")
+        assert len(contents(spark, f"{path}{marked_first}")) == 3
+    rows = spark.createDataFrame([(1,)], "n INT")
+    for n in (1, 2):
+        tables.write_gold(rows.withColumn("m", F.lit(n)), f"{folder}/g")
+        assert spark.read.parquet(f"{folder}/g").first().m == n
+
+
+@pytest.mark.parametrize("text", ["{", "[]", '{"filled": []}', ""])
+def test_an_unreadable_plan_is_an_error(spark, folder, text):
+    path = f"{folder}/silver"
+    tables.upsert_silver(spark, silver_rows(spark, at(1, "a")), path)
+    spark.createDataFrame([(text,)], "v STRING").write.text(f"{tables._pending_path(path)}/plan")
+    with pytest.raises(ValueError, match="unreadable plan"):
+        tables.upsert_silver(spark, silver_rows(spark, at(2, "b")), path)
+    assert contents(spark, path) == [("a", 1, 100.0)]
+
+
+def test_a_failed_gold_write_leaves_the_old_table(spark, folder):
+    path = f"{folder}/gold"
+    tables.write_gold(spark.range(3), path)
+    with pytest.raises(Exception, match="USER_RAISED"):
+        tables.write_gold(spark.range(3).withColumn("x", F.raise_error(F.lit("no"))), path)
+    assert spark.read.parquet(path).count() == 3
+    tables.write_gold(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_bronze_lists_only_days_inside_the_horizon(spark, folder):
+    rows = [(d, date(2026, 6, d)) for d in (1, 8, 9, 10)]
+    frame = spark.createDataFrame(rows, "v INT, ingestion_date DATE")
+    frame.write.partitionBy("ingestion_date").parquet(f"{folder}/b")
+    read = tables.read_bronze(spark, f"{folder}/b", date(2026, 6, 10))
+    assert {r.v for r in read.collect()} == {8, 9, 10} and read.schema == spark.read.parquet(f"{folder}/b").schema
+    assert not any("2026-06-01" in f for f in read.inputFiles())
+    assert tables.read_bronze(spark, f"{folder}/b", date(2027, 1, 1)).count() == 0
+    assert tables.read_bronze(spark, f"{folder}/b", date(2026, 6, 10), -1).count() == 4

@@ -42,7 +42,7 @@ class Lake:
 
     def _stored(self, name: str, build, partition: str | None = None) -> DataFrame:
         path = self.path(name)
-        if not shared.exists(self.spark, f"{path}/_SUCCESS"):
+        if not shared.holds_data(self.spark, path):
             writer = build().write.mode("overwrite")
             (writer.partitionBy(partition) if partition else writer).parquet(path)
         return self.spark.read.parquet(path)

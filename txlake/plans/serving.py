@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.sources.tables import register_gold_views
+from txlake.constants import GOLD_TABLES
 
 _VOLUME = "CAST(sum(CAST(total_volume_pln AS DECIMAL(28,2))) AS DOUBLE)"
 
@@ -86,7 +86,15 @@ QUERIES = {
 }
 
 
+def tables_of(name: str) -> list[str]:
+    """The gold tables that a statement reads."""
+    return [t for t in GOLD_TABLES if t in QUERIES[name]]
+
+
 def serve(spark: SparkSession, name: str, gold_root: str) -> DataFrame:
-    """Run one serving query over the gold tables under ``gold_root``."""
-    register_gold_views(spark, gold_root)
-    return spark.sql(QUERIES[name])
+    """Run one serving query over the gold tables under ``gold_root``, opening only those it reads."""
+    frames = {t: spark.read.parquet(f"{gold_root}/{t}") for t in tables_of(name)}
+    bound = QUERIES[name]
+    for table in frames:
+        bound = bound.replace(f"FROM {table}", f"FROM {{{table}}}")
+    return spark.sql(bound, **frames)

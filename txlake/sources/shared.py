@@ -6,20 +6,30 @@ unlike cached or locally checkpointed blocks.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of local applications that name none.
+_LOCAL: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a fresh local one only on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset a local master, as in tests, gets one fresh folder per
+    application; on a cluster it is an error. No setting of the session is changed.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="txlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="txlake-")
+        root = _LOCAL[context.applicationId]
     return root.rstrip("/")
 
 
@@ -46,6 +56,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything that a reader would read.
+
+    Committed files say so, not a success marker, which clusters may not write. What a
+    job leaves that didn't get to its commit starts with an underscore or a dot.
+    """
+    return any(not name.startswith(("_", ".")) for name in child_names(spark, path))
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, where = _handle(spark, path)
     return fs.delete(where, True)

@@ -48,31 +48,35 @@ def snapshot_tables(
 ) -> DataFrame:
     """Copy tables (name to path) and write a manifest of their fingerprints.
 
-    Refuses running writers, an empty source and an existing destination. The
+    Refuses running writers, a name without a folder, only empty tables, and an
+    existing destination; of several tables, empty ones are left out. The
     manifest comes last and only when neither files nor rows changed during the
     copy, so a copy without one is not a snapshot. Checkpoints are left out:
     only table folders are copied.
     """
     if not writers_paused:
-        raise ValueError("pause the table writers and confirm it before a snapshot")
+        raise ValueError("writers_paused must be true: a table that is written to cannot be copied as one state")
     if shared.child_names(spark, destination):
-        raise ValueError("snapshot destination is not empty")
+        raise ValueError(f"{destination} already holds files")
+    absent = sorted(name for name, path in tables.items() if not shared.exists(spark, path))
+    if absent:
+        raise ValueError(f"no folder for: {', '.join(absent)}; nothing was copied")
     held = {
         name: _signature(inventory(spark, path))
         for name, path in tables.items()
-        if shared.child_names(spark, path)
+        if shared.holds_data(spark, path)
     }
     filled = {name: tables[name] for name, files in held.items() if files[0] > 0}
     if not filled:
-        raise ValueError("no table data to snapshot")
+        raise ValueError("every named table is empty")
     for name, path in filled.items():
         spark.read.parquet(path).write.parquet(f"{destination}/{name}")
     taken = _signatures(spark, filled)
     for name, path in filled.items():
         if held[name] != _signature(inventory(spark, path)):
-            raise ValueError("source changed during the snapshot; no manifest was written")
+            raise ValueError(f"{name} was written to while it was copied; the copy has no manifest")
     if taken != _signatures(spark, {name: f"{destination}/{name}" for name in filled}):
-        raise ValueError("copy differs from its source; no manifest was written")
+        raise ValueError("rows of a copy are not those of its table; the copy has no manifest")
     lines = [(name, *signature) for name, signature in taken.items()]
     manifest = spark.createDataFrame(lines, _MANIFEST_DDL)
     manifest.coalesce(1).write.parquet(f"{destination}/{_MANIFEST}")

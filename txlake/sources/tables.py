@@ -1,15 +1,17 @@
 """Lakehouse tables on plain Parquet: bounded scans, keyed upsert, overwrite, views.
 
-Parquet has no transactions. Each write stages its rows first and publishes by
-moving folders, and publishing again from the same staging is harmless; a reader
-that lists the table in the middle of a publish may see it half done.
+Parquet has no transactions. Each write but the appends stages its rows first and
+publishes by moving folders, and publishing again from the same staging is
+harmless; a reader that lists the table in the middle of a publish may see it half
+done. A table has one writer at a time: two would share its staging folder.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +33,8 @@ def placed(df: DataFrame, unit: str = "day") -> DataFrame:
 def horizon_filter(bronze: DataFrame, as_of: date, horizon_days: int = HORIZON_DAYS) -> DataFrame:
     """Rows ingested in the last ``horizon_days``; a negative horizon keeps all.
 
-    The cutoff is a literal on the partition column, so older folders are not listed.
+    On a table partitioned by ``ingestion_date`` the cutoff is a partition filter: older
+    folders are listed but not read.
     """
     if horizon_days < 0:
         return bronze
@@ -42,7 +45,16 @@ def horizon_filter(bronze: DataFrame, as_of: date, horizon_days: int = HORIZON_D
 def read_bronze(
     spark: SparkSession, path: str, as_of: date, horizon_days: int = HORIZON_DAYS
 ) -> DataFrame:
-    return horizon_filter(spark.read.parquet(path), as_of, horizon_days)
+    """The bronze table up to the horizon. Day folders before it are not even listed."""
+    prefix = "ingestion_date="
+    names = [n for n in shared.child_names(spark, path) if n.startswith(prefix)]
+    if horizon_days < 0 or not names:
+        return horizon_filter(spark.read.parquet(path), as_of, horizon_days)
+    cutoff = f"{prefix}{as_of - timedelta(days=horizon_days)}"
+    wanted = [n for n in names if n >= cutoff and n[len(prefix)].isdigit()]
+    # one folder at least, so that an empty answer has the table's columns
+    paths = [f"{path}/{n}" for n in wanted or names[-1:]]
+    return horizon_filter(spark.read.option("basePath", path).parquet(*paths), as_of, horizon_days)
 
 
 def _rebalanced(df: DataFrame, partition: str) -> DataFrame:
@@ -76,26 +88,28 @@ def upsert_silver(
 
     ``valid`` must hold each key once. Only the partitions it touches are
     rewritten: its own and those holding an older copy of one of its keys,
-    which may have moved day.
+    which may have moved day. The batch is staged first, as it is read several times.
     """
     partition = UNITS[unit]
     valid = placed(valid, unit)
     publish_pending(spark, path)
-    if not shared.exists(spark, f"{path}/_SUCCESS"):
-        clustered(valid).write.mode("overwrite").partitionBy(partition).parquet(path)
-        return
-    # read three times below, so kept once instead of being derived three times
     batch_path = shared.fresh_path(spark, "batch")
-    valid.write.parquet(batch_path)
-    valid = spark.read.schema(valid.schema).parquet(batch_path)
-    target = spark.read.schema(valid.schema).parquet(path).select(*valid.columns)
-    replaced = target.join(valid.select(key), key, "left_semi")
-    touched_days = valid.select(partition).union(replaced.select(partition)).distinct()
-    # Calendar days, not rows: a bounded list that becomes a partition filter.
-    days = [row[0] for row in touched_days.collect()]
-    touched = target.filter(F.col(partition).isin(days))
-    _replace_days(spark, merged_rows(touched, valid, key), path, partition, days)
-    shared.delete(spark, batch_path)
+    try:
+        valid.write.parquet(batch_path)
+        valid = spark.read.schema(valid.schema).parquet(batch_path)
+        touched_days, merged = valid.select(partition), valid
+        if shared.holds_data(spark, path):
+            target = spark.read.schema(valid.schema).parquet(path).select(*valid.columns)
+            replaced = target.join(valid.select(key), key, "left_semi")
+            touched_days = touched_days.union(replaced.select(partition))
+        # Calendar days, not rows: a bounded list that becomes a partition filter.
+        days = [row[0] for row in touched_days.distinct().collect()]
+        if shared.holds_data(spark, path):
+            merged = merged_rows(target.filter(F.col(partition).isin(days)), valid, key)
+        if days:
+            _replace_days(spark, merged, path, partition, days)
+    finally:
+        shared.delete(spark, batch_path)
 
 
 def optimize_silver(
@@ -104,7 +118,7 @@ def optimize_silver(
     """Compact and re-cluster by account the given partitions, or all of the table."""
     partition = UNITS[unit]
     publish_pending(spark, path)
-    if not shared.exists(spark, f"{path}/_SUCCESS"):
+    if not shared.holds_data(spark, path):
         return
     silver = spark.read.parquet(path)
     if days is None:
@@ -133,25 +147,31 @@ def _replace_days(
     spark.createDataFrame([(json.dumps(plan),)], "plan STRING").coalesce(1).write.text(
         f"{pending}/plan"
     )
-    publish_pending(spark, path)
+    if not publish_pending(spark, path):
+        raise OSError(f"the staged rewrite at {pending} has no plan")
 
 
 def publish_pending(spark: SparkSession, path: str) -> bool:
     """Finish a staged rewrite: move the new days in, drop the emptied ones.
 
     Safe to repeat after a crash at any point: a filled day is replaced only
-    while its new folder still waits in staging.
+    while its new folder still waits in staging. False when nothing was staged to
+    the end; a plan that can't be read is an error, as rows may wait behind it.
     """
     pending = _pending_path(path)
-    if not shared.exists(spark, f"{pending}/plan/_SUCCESS"):
+    if not shared.holds_data(spark, f"{pending}/plan"):
         return False
-    plan = json.loads(spark.read.text(f"{pending}/plan").first()[0])
+    try:
+        plan = json.loads(spark.read.text(f"{pending}/plan").first()[0])
+        filled, emptied = list(plan["filled"]), list(plan["emptied"])
+    except (TypeError, KeyError, ValueError) as error:
+        raise ValueError(f"unreadable plan in {pending}; nothing was published") from error
     waiting = set(shared.child_names(spark, f"{pending}/rows"))
-    for day in plan["filled"]:
+    for day in filled:
         if day in waiting:
             shared.delete(spark, f"{path}/{day}")
             shared.rename(spark, f"{pending}/rows/{day}", f"{path}/{day}")
-    for day in plan["emptied"]:
+    for day in emptied:
         # Overwriting the filled days alone would leave a moved key behind in its old day.
         shared.delete(spark, f"{path}/{day}")
     shared.delete(spark, pending)
@@ -162,13 +182,15 @@ def publish_pending(spark: SparkSession, path: str) -> bool:
 def append_quarantine(rejected: DataFrame, path: str, seen_keys: Sequence[str] = ()) -> bool:
     """Append rejects; nothing is written when there are none.
 
-    By default a re-run appends again. With ``seen_keys`` (for example the
-    message coordinates) rows already in the table are left out.
+    By default a re-run appends again. With ``seen_keys``, rows already in the table are
+    left out; nulls count as equal. The coordinates of a message are its topic,
+    partition and offset together: offsets alone repeat over partitions.
     """
     spark = rejected.sparkSession
-    if seen_keys and shared.child_names(spark, path):
-        known = read_quarantine(spark, path).select(*seen_keys).distinct()
-        rejected = rejected.join(known, list(seen_keys), "left_anti")
+    if seen_keys and shared.holds_data(spark, path):
+        known = read_quarantine(spark, path).select(*[F.col(k).alias(f"_seen_{k}") for k in seen_keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in seen_keys]
+        rejected = rejected.join(known, reduce(lambda a, b: a & b, same), "left_anti")
     if rejected.isEmpty():
         return False
     rejected.write.mode("append").parquet(path)
@@ -190,12 +212,19 @@ def clustered(silver: DataFrame) -> DataFrame:
 
 
 def write_gold(df: DataFrame, path: str, unit: str | None = None) -> None:
-    """Replace a gold table, its schema included; partitioned by event day or unit when given."""
+    """Replace a gold table, its schema included; partitioned by event day or unit when given.
+
+    The rows are written beside the table and moved in afterwards: a job that fails leaves
+    the old table. A reader between the two moves finds none.
+    """
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}.__staged"
     if unit:
-        write_partitioned(df, path, unit)
+        write_partitioned(df, staged, unit)
     else:
-        df.write.mode("overwrite").parquet(path)
-    df.sparkSession.catalog.refreshByPath(path)
+        df.write.mode("overwrite").parquet(staged)
+    shared.delete(spark, path)
+    shared.rename(spark, staged, path)
+    spark.catalog.refreshByPath(path)
 
 
 def register_gold_views(
@@ -203,7 +232,8 @@ def register_gold_views(
 ) -> list[str]:
     """Temp view per gold table. A missing table is an error, an empty one is not.
 
-    Call again to see a later write: a view keeps the files it was made over.
+    Call again to see a later write: a view keeps the files it was made over. The
+    names are the tables', so a later call for another root takes them over.
     """
     for name in tables:
         path = f"{root}/{name}"
