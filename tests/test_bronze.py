@@ -101,6 +101,23 @@ def test_one_missing_field_is_one_error(spark):
         ({"channel": None}, "channel must be one of ('ONLINE', 'POS', 'ATM', 'MOBILE'), got None"),
         ({"channel": True}, "channel must be one of ('ONLINE', 'POS', 'ATM', 'MOBILE'), got True"),
         ({"is_fraud_label": 1}, "is_fraud_label must be a boolean"),
+        ({"amount": -0.00001}, "amount must be > 0, got -1e-05"),
+        ({"amount": -0.0001}, "amount must be > 0, got -0.0001"),
+        ({"amount": -12345678.12345678}, "amount must be > 0, got -12345678.12345678"),
+        ({"amount": -1e16}, "amount must be > 0, got -1e+16"),
+        (
+            {"currency": "pln"},
+            "currency must be one of ('CNY', 'CZK', 'EUR', 'GBP', 'PLN', 'UAH', 'USD'), got 'pln'",
+        ),
+        (
+            {"country": "ZZ"},
+            "country must be one of ('PL', 'DE', 'FR', 'ES', 'IT', 'NL', 'SK', 'GB', 'US', 'CZ', 'UA', 'CN'), got 'ZZ'",
+        ),
+        (
+            {"merchant_category": "Fuel"},
+            "merchant_category must be one of ('grocery', 'restaurant', 'travel', 'electronics', 'fashion', 'fuel', "
+            "'entertainment', 'health', 'utilities', 'cash_withdrawal', 'online_services', 'gambling'), got 'Fuel'",
+        ),
     ],
 )
 def test_each_violation_has_its_message(spark, change, message):
@@ -113,6 +130,13 @@ def test_errors_come_in_contract_order(spark):
     assert heads == ["unexpected", "transaction_id", "amount", "channel"]
 
 
+def test_of_a_repeated_key_the_last_value_counts(spark):
+    text = json.dumps(GOOD)[:-1]
+    found = errors_of(spark, text + ', "channel": "FAX", "channel": "POS"}', text + ', "amount": -2.5}', '{"x": 1, "x": 2}')
+    assert found[0] == [] and found[1] == ["amount must be > 0, got -2.5"]
+    assert found[2][1] == "unexpected fields: x"
+
+
 def test_non_objects(spark):
     found = errors_of(spark, "[1]", '"x"', "5", "5.5", "true", "null", "{oops", None)
     kinds = ["list", "str", "int", "float", "bool", "NoneType", "invalid JSON", "invalid JSON"]

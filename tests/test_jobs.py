@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date
+import inspect
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,8 +125,8 @@ def test_training_beats_no_skill_and_can_be_loaded(spark, folder):
     assert len(row.reference_quantiles.amount_pln) == 11
     scorer = scoring.load_or_default(spark, path)
     assert scorer.kind == "spark_ml"
-    kept = {r.feature: r["count"] for r in scorer.reference.groupBy("feature").count().collect()}
-    assert kept["amount_pln"] == 600
+    kept = {r.feature: r.n for r in scorer.reference.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    assert kept == {"amount_pln": 600, "fraud_score": 600 - row.holdout_n}  # every row counts
     scored = scoring.add_fraud_scores(labelled(spark), scorer)
     assert scored.columns[-2:] == ["fraud_score", "fraud_flag"]
     assert scored.filter("fraud_score < 0 OR fraud_score > 1").count() == 0
@@ -141,3 +142,23 @@ def test_drift_from_a_model_reference_leads_to_training(spark, folder):
     row = jobs.retraining_verdict(spark, layout, "r").first()
     assert row.verdict == "RETRAIN"
     assert "amount_pln" in row.triggered_by
+
+
+@pytest.mark.parametrize("damaged", ["metadata", "reference", "model"])
+def test_an_unusable_model_leaves_the_heuristic(spark, folder, caplog, damaged):
+    layout = jobs.Layout(folder)
+    training.train(spark, labelled(spark), layout.model, rounds=1)
+    shared.delete(spark, f"{layout.model}/{damaged}")
+    spark.createDataFrame([("{broken",)], "v STRING").write.text(f"{layout.model}/{damaged}")
+    assert scoring.load_or_default(spark, layout.model).kind == "heuristic"
+    assert "unusable" in caplog.text
+
+
+def test_a_model_is_trained_with_a_hundred_rounds_unless_told_otherwise():
+    for job in (training.fit_gbt, training.train):
+        assert inspect.signature(job).parameters["rounds"].default == 100
+
+
+def test_the_metadata_is_dated_by_the_caller(spark, folder):
+    row = training.train(spark, labelled(spark), folder, rounds=1, now=datetime(2026, 6, 1, tzinfo=UTC)).first()
+    assert row.trained_at == "2026-06-01T00:00:00+00:00"

@@ -21,7 +21,7 @@ MERCHANT_CATEGORIES = (
 )
 CHANNELS = ("ONLINE", "POS", "ATM", "MOBILE")
 COUNTRIES = ("PL", "DE", "FR", "ES", "IT", "NL", "SK", "GB", "US", "CZ", "UA", "CN")
-CURRENCIES = ("PLN", "EUR", "GBP", "USD", "CZK", "UAH", "CNY")
+CURRENCIES = ("CNY", "CZK", "EUR", "GBP", "PLN", "UAH", "USD")
 HOME_COUNTRY = "PL"
 
 # --- fixed values: exchange rates to PLN ---------------------------------- #
@@ -101,7 +101,6 @@ PSI_MODERATE_BELOW = 0.2
 DRIFT_FEATURES = ("fraud_score", "amount_pln")
 RETRAIN_BANDS = ("significant",)
 MIN_LIVE_SAMPLES = 200
-REFERENCE_SAMPLE_SIZE = 5000
 HOLDOUT_SHARE = 0.25
 
 # --- fixed values: heuristic fraud model ---------------------------------- #
@@ -124,6 +123,15 @@ HEURISTIC_WEIGHTS = {
     "is_foreign": 0.9,
 }
 
+# --- fixed values: record of a trained model ------------------------------ #
+MODEL_METADATA = """
+    kind STRING, estimator STRING, feature_names ARRAY<STRING>, threshold DOUBLE, trained_at STRING,
+    n_samples BIGINT, n_fraud BIGINT, roc_auc DOUBLE, pr_auc DOUBLE, heuristic_pr_auc DOUBLE,
+    holdout_positive_rate DOUBLE, holdout_n BIGINT,
+    reference_quantiles STRUCT<fraud_score: ARRAY<DOUBLE>, amount_pln: ARRAY<DOUBLE>>
+"""
+BOOSTING_ROUNDS = 100
+
 # --- fixed values: quality report ----------------------------------------- #
 QUALITY_COUNTERS = (
     "row_count",

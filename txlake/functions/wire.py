@@ -52,21 +52,36 @@ def is_iso8601(text: Column) -> Column:
 
 
 def _float_text(number: Column) -> Column:
-    """A double as the contract's messages print it: plain digits up to 1e16."""
-    plain = F.regexp_replace(number.try_cast("decimal(30,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(number).between(1e7, 1e16), plain).otherwise(number.cast("string"))
+    """A double as the contract's messages print it: an exponent below 1e-4 and from 1e16 on."""
+    text = number.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
+    short = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "E+$1")
+    scientific = F.regexp_replace(F.regexp_replace(short, r"E([+-])(\d)$", "E$10$2"), "E", "e")
+    size = F.abs(number)
+    return F.when((size >= 1e-4) & (size < 1e16), plain).when(text.contains("E"), scientific).otherwise(text)
+
+
+def _record(value: str) -> Column:
+    """The record as a VARIANT; of a repeated key the last value counts.
+
+    A VARIANT refuses repeated keys. Reading fields by name takes the last one of each, so
+    such a record, whose keys can be listed, is read that way and written out again.
+    """
+    by_name = F.from_json(value, ", ".join(f"{f} VARIANT" for f in WIRE_FIELDS))
+    again = F.when(F.json_object_keys(value).isNotNull(), F.try_parse_json(F.to_json(by_name)))
+    return F.coalesce(F.try_parse_json(F.col(value)), again)
 
 
 def with_wire_errors(df: DataFrame, value: str = "value", output: str = "errors") -> DataFrame:
     """Add the contract violations of a JSON text column, in contract order; empty when valid.
 
-    The text is parsed once, then each field's kind and text are taken once, in
-    projections of their own, so the messages below only compare columns.
+    The text is read twice, for its values and for its keys. Then each field's kind and text
+    are taken once, in projections of their own, so the messages below only compare columns.
     """
     parsed = df.withColumns(
         {
-            "_record": F.try_parse_json(F.col(value)),
-            "_keys": F.json_object_keys(F.col(value)),
+            "_record": _record(value),
+            "_keys": F.array_distinct(F.json_object_keys(F.col(value))),
         }
     )
     cells = parsed.withColumn("_shape", F.schema_of_variant("_record"))
@@ -84,6 +99,8 @@ def with_wire_errors(df: DataFrame, value: str = "value", output: str = "errors"
 
 
 def _messages() -> Column:
+    """Fixed texts: the contract's messages, in its order."""
+
     def kind_of(field: str) -> Column:
         return F.col(f"_k_{field}")
 

@@ -1,5 +1,6 @@
 """Fraud scoring with a native expression, a Spark ML model or a vectorised UDF."""
 
+import logging
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -14,6 +15,8 @@ from txlake.constants import FEATURE_NAMES, FRAUD_THRESHOLD
 from txlake.functions.signals import feature_columns, heuristic_score
 from txlake.sources import shared
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Scorer:
@@ -95,9 +98,17 @@ def add_fraud_scores(
 
 
 def load_or_default(spark: SparkSession, path: str | None) -> Scorer:
-    """The trained model at ``path``, or the heuristic when there is none."""
+    """The trained model at ``path``; the heuristic when there is none or it can't be used.
+
+    Scoring goes on whatever the reason is; the reason is logged.
+    """
     from txlake.operators.training import load_model
 
-    if path is None or not shared.exists(spark, f"{path}/metadata/_SUCCESS"):
+    if path is None or not shared.child_names(spark, path):
+        return heuristic_scorer()
+    try:
+        return load_model(spark, path)
+    except Exception as error:  # noqa: BLE001 - a damaged model may fail in any way
+        reason = (str(error).splitlines() or [""])[0]
+        log.warning("model at %s is unusable (%s: %s); scoring by the heuristic", path, type(error).__name__, reason)
         return heuristic_scorer()
-    return load_model(spark, path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from datetime import UTC, datetime
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.constants import (
+    BOOSTING_ROUNDS,
     FEATURE_NAMES,
     FRAUD_THRESHOLD,
     HOLDOUT_SHARE,
-    REFERENCE_SAMPLE_SIZE,
+    MODEL_METADATA,
 )
 from txlake.operators.evaluation import ranking_quality
 from txlake.operators.ordered import deciles, running_totals, value_at_rank
@@ -59,7 +59,7 @@ def stratified_split(
     )
 
 
-def fit_gbt(train_rows: DataFrame, label: str, seed: int = 42, rounds: int = 20) -> PipelineModel:
+def fit_gbt(train_rows: DataFrame, label: str, seed: int = 42, rounds: int = BOOSTING_ROUNDS) -> PipelineModel:
     """Gradient-boosted trees over the seven features."""
     prepared = with_features(train_rows).withColumn("label", F.col(label).cast("double"))
     stages = [
@@ -71,20 +71,17 @@ def fit_gbt(train_rows: DataFrame, label: str, seed: int = 42, rounds: int = 20)
     return Pipeline(stages=stages).fit(prepared.select(*FEATURE_NAMES, "label"))
 
 
-def reference_sample(
-    scored_train: DataFrame, silver: DataFrame, size: int = REFERENCE_SAMPLE_SIZE
-) -> DataFrame:
-    """``feature, value`` rows the model keeps for drift: scores of the training side, amounts of all."""
+def reference_distribution(scored_train: DataFrame, silver: DataFrame) -> DataFrame:
+    """``feature, value, n`` rows the model keeps for drift: scores of the training side, amounts of all.
+
+    Every row counts; equal rounded values share one line.
+    """
 
     def part(df: DataFrame, feature: str, places: int) -> DataFrame:
-        first = df.select(F.md5("transaction_id").alias("o"), F.col(feature).alias("v"))
-        return (
-            first.orderBy("o", "v")
-            .limit(size)
-            .select(F.lit(feature).alias("feature"), F.round("v", places).alias("value"))
-        )
+        return df.select(F.lit(feature).alias("feature"), F.round(feature, places).alias("value"))
 
-    return part(scored_train, "fraud_score", 6).unionByName(part(silver, "amount_pln", 2))
+    cells = part(scored_train, "fraud_score", 6).unionByName(part(silver, "amount_pln", 2))
+    return cells.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train(
@@ -93,68 +90,55 @@ def train(
     path: str,
     label: str = "is_fraud_label",
     seed: int = 42,
-    rounds: int = 20,
+    rounds: int = BOOSTING_ROUNDS,
+    now: datetime | None = None,
 ) -> DataFrame:
     """Split, fit, evaluate and save; returns the one-row metadata.
 
     Everything downstream reads the staged split, so its rows cannot change
-    between fitting and evaluation.
+    between fitting and evaluation. ``now`` dates the record.
     """
-    split = shared.stage(stratified_split(silver, label, seed=seed), "split")
-    train_rows, holdout = split.filter("NOT is_holdout"), split.filter("is_holdout")
-    model = fit_gbt(train_rows, label, seed, rounds)
-    scorer = pipeline_scorer(model)
-    scored_train = shared.stage(
-        add_fraud_scores(train_rows, scorer).select("transaction_id", "fraud_score"), "scores"
-    )
-    tested = ranking_quality(add_fraud_scores(holdout, scorer), "fraud_score", label).first()
-    baseline = ranking_quality(
-        add_fraud_scores(holdout, heuristic_scorer()), "fraud_score", label
-    ).first()
-    counts = split.agg(F.count(F.lit(1)), F.count_if(label)).first()
-    quantiles = {
-        **_listed(deciles(scored_train, ["fraud_score"])),
-        **_listed(deciles(split, ["amount_pln"])),
-    }
-    metadata = {
-        "kind": scorer.kind,
-        "estimator": "GBTClassifier",
-        "feature_names": list(FEATURE_NAMES),
-        "threshold": FRAUD_THRESHOLD,
-        "trained_at": datetime.now(tz=UTC).replace(microsecond=0).isoformat(),
-        "n_samples": counts[0],
-        "n_fraud": counts[1],
-        "roc_auc": round(tested["roc_auc"], 4),
-        "pr_auc": round(tested["average_precision"], 4),
-        "heuristic_pr_auc": round(baseline["average_precision"], 4),
-        "holdout_positive_rate": round(tested["no_skill"], 4),
-        "holdout_n": tested["rows"],
-        "reference_quantiles": quantiles,
-    }
-    shared.delete(spark, f"{path}/metadata")
-    model.write().overwrite().save(f"{path}/model")
-    reference_sample(scored_train, split).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/reference"
-    )
+    now = now or datetime.now(tz=UTC)
+    split_path, scores_path = shared.fresh_path(spark, "split"), shared.fresh_path(spark, "scores")
+    try:
+        stratified_split(silver, label, seed=seed).write.parquet(split_path)
+        split = spark.read.parquet(split_path)
+        train_rows, holdout = split.filter("NOT is_holdout"), split.filter("is_holdout")
+        model = fit_gbt(train_rows, label, seed, rounds)
+        scorer = pipeline_scorer(model)
+        add_fraud_scores(train_rows, scorer).select("transaction_id", "fraud_score").write.parquet(scores_path)
+        scored_train = spark.read.parquet(scores_path)
+        tested = ranking_quality(add_fraud_scores(holdout, scorer), "fraud_score", label).first()
+        heuristic = ranking_quality(add_fraud_scores(holdout, heuristic_scorer()), "fraud_score", label).first()
+        samples = split.agg(F.count(F.lit(1)).alias("n"), F.count_if(label).alias("fraud")).first()
+        scores, amounts = (_listed(deciles(df, [f])) for df, f in ((scored_train, "fraud_score"), (split, "amount_pln")))
+        shared.delete(spark, f"{path}/metadata")
+        model.write().overwrite().save(f"{path}/model")
+        reference = reference_distribution(scored_train, split)
+        reference.write.mode("overwrite").parquet(f"{path}/reference")
+    finally:
+        shared.delete(spark, split_path)
+        shared.delete(spark, scores_path)
+    record = (
+        scorer.kind, "GBTClassifier", list(FEATURE_NAMES), FRAUD_THRESHOLD, now.replace(microsecond=0).isoformat(),
+        samples["n"], samples["fraud"], round(tested["roc_auc"], 4), round(tested["average_precision"], 4),
+        round(heuristic["average_precision"], 4), round(tested["no_skill"], 4), tested["rows"], (scores, amounts),
+    )
     # Written last: a folder without metadata is not a usable model.
-    spark.createDataFrame([(json.dumps(metadata),)], "value STRING").coalesce(1).write.mode(
-        "overwrite"
-    ).text(f"{path}/metadata")
-    return spark.read.json(f"{path}/metadata")
+    row = spark.createDataFrame([record], MODEL_METADATA)
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    return spark.read.schema(MODEL_METADATA).json(f"{path}/metadata")
 
 
-def _listed(decile_rows: DataFrame) -> dict[str, list[float]]:
-    """Eleven values per feature, as the metadata keeps them."""
-    found: dict[str, list[float]] = {}
-    for row in decile_rows.orderBy("feature", "decile").collect():
-        found.setdefault(row["feature"], []).append(row["value"])
-    return found
+def _listed(decile_rows: DataFrame) -> list[float]:
+    """Eleven values, as the metadata keeps them."""
+    return [row["value"] for row in decile_rows.orderBy("decile").collect()]
 
 
 def load_model(spark: SparkSession, path: str) -> Scorer:
-    """A saved model with its threshold and reference sample."""
-    metadata = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    """A saved model with its threshold and reference distribution."""
+    metadata = spark.read.schema(MODEL_METADATA).json(f"{path}/metadata").first()
+    if metadata is None or metadata["threshold"] is None:
+        raise ValueError(f"no readable metadata at {path}")
     reference = spark.read.parquet(f"{path}/reference")
-    return pipeline_scorer(
-        PipelineModel.load(f"{path}/model"), metadata["threshold"], reference
-    )
+    return pipeline_scorer(PipelineModel.load(f"{path}/model"), metadata["threshold"], reference)

@@ -6,17 +6,6 @@ and derives bronze, silver and gold in common table expressions of its own.
 
 from __future__ import annotations
 
-from txlake.constants import (
-    CHANNELS,
-    COUNTRIES,
-    CURRENCIES,
-    FX_RATES_TO_PLN,
-    HEURISTIC_INTERCEPT,
-    HEURISTIC_WEIGHTS,
-    HIGH_RISK_CATEGORIES,
-    MERCHANT_CATEGORIES,
-    QUALITY_CHECKS,
-)
 from txlake.plans.fixtures import (
     EV_CHANNELS,
     EV_COUNTRIES,
@@ -28,6 +17,27 @@ from txlake.plans.fixtures import (
 )
 
 
+# --- fixed values: the contract's own lists, stated here again on purpose: a statement that
+# took them from the package would agree with it whatever they are.
+CURRENCIES = ("CNY", "CZK", "EUR", "GBP", "PLN", "UAH", "USD")
+COUNTRIES = ("PL", "DE", "FR", "ES", "IT", "NL", "SK", "GB", "US", "CZ", "UA", "CN")
+CHANNELS = ("ONLINE", "POS", "ATM", "MOBILE")
+MERCHANT_CATEGORIES = (
+    "grocery", "restaurant", "travel", "electronics", "fashion", "fuel", "entertainment", "health",
+    "utilities", "cash_withdrawal", "online_services", "gambling",
+)
+FX_RATES_TO_PLN = {"PLN": "1.00", "EUR": "4.30", "USD": "3.95", "GBP": "5.05", "CZK": "0.17", "UAH": "0.10", "CNY": "0.55"}
+HIGH_RISK_CATEGORIES = ("cash_withdrawal", "gambling", "electronics", "online_services", "travel")
+HEURISTIC_INTERCEPT = -4.2
+HEURISTIC_WEIGHTS = {
+    "log_amount_pln": 0.25, "is_night": 0.4, "is_online": 1.0, "is_atm": 0.5, "is_high_risk_category": 1.3, "is_foreign": 0.9,
+}
+QUALITY_CHECKS = (
+    "no_null_transaction_id", "no_null_account_id", "no_null_amount", "no_null_amount_pln", "transaction_id_unique",
+    "amount_within_bounds",
+)
+
+
 def _words(words) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
