@@ -163,3 +163,39 @@ def test_policy_settings_and_evidence(spark):
     assert row.triggered_by == "fraud_score (PSI=0.15, moderate)"
     assert decide(spark, line(live=12), min_live_samples=10).verdict == "RETRAIN"
     assert decide(spark, line(live=12)).not_comparable == "fraud_score (only 12 rows, need 200)"
+
+
+def test_roc_auc_of_counts_whose_product_is_no_long(spark, monkeypatch):
+    """Four thousand million positives at one score above three thousand million negatives."""
+    totals = spark.createDataFrame(
+        [(0.1, 0, 3 * 10**9, 0, 3 * 10**9), (0.9, 4 * 10**9, 0, 4 * 10**9, 3 * 10**9)],
+        "score DOUBLE, pos BIGINT, neg BIGINT, cum_pos BIGINT, cum_neg BIGINT",
+    ).selectExpr("*", "4000000000L AS total_pos", "3000000000L AS total_neg")
+    monkeypatch.setattr(evaluation, "running_totals", lambda *args, **more: totals)
+    row = evaluation.ranking_quality(spark.createDataFrame([(0.1, True)], "s DOUBLE, y BOOLEAN"), "s", "y").first()
+    assert row.roc_auc == 1.0 and row.rows == 7 * 10**9
+
+
+def test_several_runs_in_one_pass_equal_single_ones(spark):
+    drawn = np.random.default_rng(3)
+    sides = {run: (drawn.normal(size=400), drawn.normal(shift, 1, 300)) for run, shift in (("a", 0), ("b", 2))}
+    sides["c"] = (np.array([]), sides["a"][1])
+
+    def wide(side):
+        rows = [(run, float(v)) for run, pair in sides.items() for v in pair[side]]
+        return spark.createDataFrame(rows, "run_id STRING, x DOUBLE")
+
+    runs = spark.createDataFrame([("a",), ("b",), ("c",), ("none",)], "run_id STRING")
+    found = {r.run_id: r for r in drift.feature_drift(wide(0), wide(1), ["x"], runs=runs).collect()}
+    for run, (reference, live) in sides.items():
+        one = figures(spark, reference, live)
+        for name in ("psi", "ks", "reference_n", "live_n"):
+            assert found[run][name] == pytest.approx(one[name])
+    assert (found["none"].psi, found["none"].live_n) == (0.0, 0)
+
+
+def test_a_weighted_reference_equals_its_rows(spark):
+    values = [1.0, 1.0, 2.0, 5.0, 5.0, 5.0, 9.0] * 20
+    long = spark.createDataFrame([("x", v, values.count(v)) for v in set(values)], "feature STRING, value DOUBLE, n BIGINT")
+    live = column(spark, [2.0, 5.0, 7.0] * 50)
+    assert drift.feature_drift(long, live, ["x"]).first() == drift.feature_drift(column(spark, values), live, ["x"]).first()

@@ -6,6 +6,7 @@ import pytest
 
 from tests.build import bronze, silver_rows, tx
 from txlake.constants import QUALITY_CHECKS
+from txlake.functions import money
 from txlake.operators import quality, silver
 from txlake.schemas import QUALITY_CHECKS_DDL, QUALITY_METRICS_DDL
 from txlake.sources import reports
@@ -139,3 +140,20 @@ def test_a_damaged_report_file_fails_the_gate(spark, folder, value):
     assert [r.failure for r in quality.quality_gate(metrics, checks).collect()] == [
         quality.BAD_METRICS
     ]
+
+
+@pytest.mark.parametrize(
+    ("amount", "rate", "pln"),
+    [(0.0049999999, "1.00", 0.0), (2.3249999995, "1.00", 2.32), (0.005, "1.00", 0.01), (100.0, "4.30", 430.0), (1e13, "1.00", None)],
+)
+def test_money_is_rounded_once(spark, amount, rate, pln):
+    frame = spark.createDataFrame([(amount, rate)], "a DOUBLE, r STRING")
+    assert frame.select(money.to_pln(frame.a, frame.r).alias("p")).first().p == pln
+
+
+def test_a_profile_of_dirty_amounts_does_not_stop(spark):
+    rows = silver.tagged_silver(bronze(spark, tx(), tx(amount=1e17), tx(amount=1e300)), fx_rates(spark))
+    row = quality.quality_profile(rows, 0, "r").first()
+    assert (row.row_count, row.amount_max) == (3, 1e300)
+    wide = spark.createDataFrame([(1e17,), (2.0,), (1e30,)], "a DOUBLE")
+    assert wide.select(money.mean(wide.a).alias("m")).first().m == 5e16 + 1

@@ -10,27 +10,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CENTS = "decimal(18,2)"
+_WIDE = "decimal(28,2)"
 
 
 def to_pln(amount: Column, rate: Column) -> Column:
-    """``amount * rate`` rounded half up to two places.
+    """``amount * rate`` rounded half up to two places, once, from the exact product.
 
-    Amounts beyond the decimal range (always rejected by the range rule) fall
-    back to double arithmetic so a rejected row still shows a figure.
+    NULL for amounts of 1e12 or more, which the range rule always rejects.
     """
-    exact = F.round(amount.try_cast("decimal(18,6)") * rate.cast("decimal(10,6)"), 2)
-    return F.coalesce(exact.cast("double"), F.round(amount * rate, 2))
+    exact = amount.try_cast("decimal(27,15)") * rate.cast("decimal(10,6)")
+    return F.round(exact, 2).cast("double")
 
 
 def total(amount: Column) -> Column:
-    """Exact sum of a two-place money column."""
-    return F.sum(amount.cast(_CENTS)).cast("double")
+    """Exact sum of a two-place money column; amounts beyond 16 digits are left out."""
+    return F.sum(amount.try_cast(_CENTS)).cast("double")
 
 
 def mean(amount: Column) -> Column:
-    """Average of a two-place money column, rounded half up to two places."""
-    summed = F.sum(amount.cast(_CENTS))
-    return F.round(summed / F.nullif(F.count(amount), F.lit(0)), 2).cast("double")
+    """Average of a money column, rounded half up to two places; amounts of 1e26 or more are left out."""
+    wide = amount.try_cast(_WIDE)
+    return F.round(F.sum(wide) / F.nullif(F.count(wide), F.lit(0)), 2).cast("double")
 
 
 def rate(part: Column, whole: Column, places: int = 5) -> Column:

@@ -21,16 +21,24 @@ from txlake.operators.ordered import running_totals, unpivoted, value_at_rank
 
 
 def reference_cells(reference: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, value`` rows of a wide frame, or of a model's own long table."""
+    """``feature, value, n`` rows of a wide frame, or of a model's own long table (``n`` may lack: 1)."""
     if {"feature", "value"} <= set(reference.columns):
-        return reference.filter(F.col("feature").isin(list(features))).select("feature", "value")
-    return unpivoted(reference, features)
+        weight = F.col("n") if "n" in reference.columns else F.lit(1)
+        kept = reference.filter(F.col("feature").isin(list(features)))
+        return kept.select("feature", "value", weight.cast("long").alias("n"))
+    return unpivoted(reference, features, F.lit(1).cast("long").alias("n"))
 
 
-def _both_sides(reference: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
-    one, zero = F.lit(1), F.lit(0)
-    expected = reference_cells(reference, features).select("*", one.alias("ref"), zero.alias("live"))
-    actual = unpivoted(live, features).select("*", zero.alias("ref"), one.alias("live"))
+def _both_sides(
+    reference: DataFrame, live: DataFrame, features: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    if by:
+        expected = unpivoted(reference, features, *by).withColumn("n", one)
+    else:
+        expected = reference_cells(reference, features)
+    expected = expected.select(*by, "feature", "value", F.col("n").alias("ref"), none.alias("live"))
+    actual = unpivoted(live, features, *by).select(*by, "feature", "value", none.alias("ref"), one.alias("live"))
     return expected.unionByName(actual).filter(F.col("value").isNotNull())
 
 
@@ -46,20 +54,24 @@ def _strictly_rising(edges: Column) -> Column:
     return F.aggregate(edges, start, lift)
 
 
-def _feature_shape(both: DataFrame, buckets: int) -> DataFrame:
-    """Per feature: sizes, KS distance and the reference's quantile edges."""
+def _ranked(both: DataFrame, buckets: int, by: Sequence[str] = ()) -> DataFrame:
+    """Running totals of both sides, with the ranks of the reference's quantile edges."""
     last = F.col("total_ref") - 1
     ranks = {
         f"_rank{i}": F.least(last, F.bround(F.lit(i / buckets) * last)) for i in range(buckets)
     }
-    totals = running_totals(both, "value", ["ref", "live"], by=["feature"], per_key=ranks)
-    picks = [value_at_rank("value", "cum_ref", F.col(r)) for r in ranks]
+    return running_totals(both, "value", ["ref", "live"], by=[*by, "feature"], per_key=ranks)
+
+
+def _feature_shape(totals: DataFrame, buckets: int, by: Sequence[str] = ()) -> DataFrame:
+    """Per feature: sizes, KS distance and the reference's quantile edges."""
+    picks = [value_at_rank("value", "cum_ref", F.col(f"_rank{i}")) for i in range(buckets)]
     highest = F.max(F.when(F.col("ref") > 0, F.col("value")))
     gap = F.abs(
         F.col("cum_ref") / F.nullif("total_ref", F.lit(0))
         - F.col("cum_live") / F.nullif("total_live", F.lit(0))
     )
-    return totals.groupBy("feature").agg(
+    return totals.groupBy(*by, "feature").agg(
         F.max("total_ref").alias("reference_n"),
         F.max("total_live").alias("live_n"),
         F.max(gap).alias("ks"),
@@ -72,20 +84,25 @@ def feature_drift(
     live: DataFrame,
     features: Sequence[str] = DRIFT_FEATURES,
     buckets: int = PSI_BUCKETS,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """``feature, psi, ks, reference_n, live_n`` over all rows of both sides.
 
-    All features go through one set of shuffles. An empty side gives PSI and KS
-    of 0; the retraining decision treats it as not comparable.
+    All features go through one set of shuffles. ``runs`` lists the keys (say
+    ``run_id``) of several comparisons at once: both sides then are wide frames with
+    these columns, and so is the result. An empty side gives PSI and KS of 0; the
+    retraining decision treats it as not comparable.
     """
-    both = _both_sides(reference, live, features)
-    # One row per feature, so joining it is a map over the rows; its figures ride along as
-    # grouping keys, which leaves a single use of the costly branch.
-    shape = F.broadcast(_feature_shape(both, buckets))
+    by = [] if runs is None else runs.columns
+    totals = _ranked(_both_sides(reference, live, features, by), buckets, by)
+    # One row per feature, so joining it is a map over the distinct values; its figures ride along
+    # as grouping keys. Both uses of the totals read the same shuffled sums.
+    shape = F.broadcast(_feature_shape(totals, buckets, by))
     above = [(F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(1, buckets)]
-    figures = ("feature", "ks", "reference_n", "live_n")
+    figures = (*by, "feature", "ks", "reference_n", "live_n")
     counted = (
-        both.join(shape, "feature")
+        totals.select(*by, "feature", "value", "ref", "live")
+        .join(shape, [*by, "feature"])
         .groupBy(*figures, reduce(add, above, F.lit(0)).alias("bucket"))
         .agg(F.sum("ref").alias("ref"), F.sum("live").alias("live"))
     )
@@ -100,8 +117,9 @@ def feature_drift(
     )
     measured = counted.groupBy(*figures).agg(F.sum(term).alias("psi"))
     asked = F.explode(F.array(*[F.lit(f) for f in features])).alias("feature")
-    listed = both.sparkSession.range(1).select(asked)
-    return listed.join(measured, "feature", "left").select(
+    keys = live.sparkSession.range(1).select() if runs is None else runs
+    return keys.select(*by, asked).join(measured, [*by, "feature"], "left").select(
+        *by,
         "feature",
         F.coalesce("psi", F.lit(0.0)).alias("psi"),
         F.coalesce("ks", F.lit(0.0)).alias("ks"),
@@ -118,7 +136,7 @@ def population_stability_index(
 
 def ks_statistic(reference: DataFrame, live: DataFrame, feature: str) -> DataFrame:
     """Largest gap between the two empirical distribution functions."""
-    shape = _feature_shape(_both_sides(reference, live, [feature]), PSI_BUCKETS)
+    shape = _feature_shape(_ranked(_both_sides(reference, live, [feature]), PSI_BUCKETS), PSI_BUCKETS)
     return shape.select("feature", F.coalesce("ks", F.lit(0.0)).alias("ks"))
 
 
@@ -127,10 +145,14 @@ def drift_report(
     live: DataFrame,
     features: Sequence[str] = DRIFT_FEATURES,
     run_id: str = "run",
+    runs: DataFrame | None = None,
 ) -> DataFrame:
-    """Report rows, one per feature: PSI with its band, KS and both sample sizes."""
-    return feature_drift(reference, live, features).select(
-        F.lit(run_id).alias("run_id"),
+    """Report rows, one per feature: PSI with its band, KS and both sample sizes.
+
+    ``runs`` (column ``run_id``) reports several runs in one pass, see ``feature_drift``.
+    """
+    return feature_drift(reference, live, features, runs=runs).select(
+        F.lit(run_id).alias("run_id") if runs is None else F.col("run_id"),
         "feature",
         F.round("psi", 5).alias("psi"),
         psi_band(F.col("psi")).alias("psi_band"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.operators.ordered import running_totals
@@ -20,6 +20,11 @@ def ranking_quality(scored: DataFrame, score: str, label: str) -> DataFrame:
         F.col(label).cast("int").alias("pos"),
         (1 - F.col(label).cast("int")).alias("neg"),
     )
+
+    def wide(count: Column) -> Column:
+        """Products of two counts don't fit a long."""
+        return count.cast("decimal(18,0)")
+
     totals = running_totals(sides, "score", ["pos", "neg"])
     pos, neg = F.col("pos"), F.col("neg")
     caught = F.col("total_pos") - F.col("cum_pos") + pos
@@ -31,9 +36,7 @@ def ranking_quality(scored: DataFrame, score: str, label: str) -> DataFrame:
         (positives + negatives).alias("rows"),
         positives.alias("positives"),
         (positives / (positives + negatives)).alias("no_skill"),
-        (F.sum((pos * (2 * below + neg)).cast("decimal(38,0)")).cast("double") / 2 / both).alias(
-            "roc_auc"
-        ),
+        (F.sum(wide(pos) * (wide(below) + wide(below) + wide(neg))).cast("double") / 2 / both).alias("roc_auc"),
         (F.sum(pos * (caught / (caught + alarms))) / F.nullif(positives, F.lit(0))).alias(
             "average_precision"
         ),
