@@ -8,15 +8,17 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from txlake.plans.oracle import ORACLE
+from txlake.plans.registry import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUICK = """
 bronze_frame wire_validate wire_validate_tx ingest_run_stats cast_extract dq_rule_counts quarantine
-dedup_latest upsert_merge quality_profile quality_gate daily_volume_by_country account_velocity
+dedup_latest upsert_merge upsert_moved_day quarantine_append report_roundtrip quality_profile quality_gate daily_volume_by_country account_velocity
 fraud_signals heuristic_score drift_report deciles average_precision stratified_split
 q1_top_countries q4_high_velocity_accounts q6_highest_scores kpi_row
 """.split()
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else QUICK
+NAMES = list(all_queries()) if os.environ.get("ALL_QUERIES") else QUICK
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 
@@ -35,4 +37,4 @@ def test_query_equals_its_sql(spark, con, name):
 def test_entry_and_registry(spark):
     assert entry.entry(spark).columns[:2] == ["event_date", "country"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"gbt_train_eval", "stream_restart"}
+    assert all_queries().keys() == ORACLE.keys()

@@ -118,6 +118,16 @@ def test_quarantine_appends_and_can_skip_known_rows(spark, folder):
     assert "note" in tables.read_quarantine(spark, path).columns
 
 
+def test_rejects_are_known_by_their_messages_coordinates(spark, folder):
+    bad = bronze(spark, tx(transaction_id=None, amount=-1.0), tx(transaction_id=None, amount=-1.0))
+    both = bad.withColumns({"source_topic": F.lit("t"), "_partition": F.col("_offset") % 2, "_offset": F.lit(5)})
+    rejected = silver.quarantined_rows(silver.tagged_silver(both, fx_rates(spark)))
+    keys = ("source_topic", "_partition", "_offset")
+    for wanted in (True, False):
+        assert tables.append_quarantine(rejected, f"{folder}/q", keys) is wanted
+    assert tables.read_quarantine(spark, f"{folder}/q").select(*keys).distinct().count() == 2
+
+
 def test_gold_views(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.register_gold_views(spark, folder, ["some_gold"])

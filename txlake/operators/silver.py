@@ -12,21 +12,23 @@ from txlake.functions.clock import parse_instant, utc_day
 from txlake.functions.money import to_pln
 from txlake.functions.rules import Rule, broken_rules, passes, standard_rules
 
+#: A message's place in its topic, kept with rejects: together they tell messages apart.
+COORDINATES = ("source_topic", "_partition")
 ORDER_COLUMNS = ("ingestion_time", "_offset", "_partition", "_value_hash")
 
 
 def cast_and_extract(bronze: DataFrame) -> DataFrame:
     """Flatten ``data`` into typed columns; ids are kept as sent.
 
-    ``_partition`` and a hash of ``value`` ride along when bronze has them, as
-    last tie-breakers of the dedup order.
+    The message's coordinates and a hash of ``value`` ride along when bronze has them:
+    rejects are told apart by them, and they are last tie-breakers of the dedup order.
     """
     data = F.col("data")
 
     def folded(field: str, fold) -> Column:
         return fold(F.trim(data[field])).alias(field)
 
-    ties = [F.col("_partition")] if "_partition" in bronze.columns else []
+    ties = [F.col(c) for c in COORDINATES if c in bronze.columns]
     if "value" in bronze.columns:
         ties.append(F.xxhash64("value").alias("_value_hash"))
     return bronze.select(
@@ -80,7 +82,7 @@ def valid_rows(tagged: DataFrame) -> DataFrame:
 def quarantined_rows(tagged: DataFrame, now: Column | None = None) -> DataFrame:
     """Rows with errors, all columns, stamped with ``quarantine_time``."""
     stamp = F.current_timestamp() if now is None else now
-    kept = [c for c in (*SILVER_COLUMNS, "dq_errors") if c in tagged.columns]
+    kept = [c for c in (*SILVER_COLUMNS, *COORDINATES, "dq_errors") if c in tagged.columns]
     return (
         tagged.filter("NOT is_valid").select(*kept).withColumn("quarantine_time", stamp)
     )

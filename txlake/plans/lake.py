@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.constants import GOLD_TABLES
+from txlake.functions.clock import utc_day
 from txlake.operators import gold, silver
 from txlake.operators.bronze import build_bronze_frame
 from txlake.operators.scoring import add_fraud_scores
@@ -48,7 +49,14 @@ class Lake:
         return self.spark.read.parquet(path)
 
     def tx_bronze(self) -> DataFrame:
-        return self._stored("tx_bronze", lambda: tx_bronze(self.spark, self.sf_dir))
+        """With the day of arrival, in its order, so that a horizon skips what is older."""
+
+        def build() -> DataFrame:
+            rows = tx_bronze(self.spark, self.sf_dir)
+            dated = rows.withColumn("ingestion_date", utc_day(F.col("ingestion_time")))
+            return dated.repartitionByRange("ingestion_date", "_offset")
+
+        return self._stored("tx_bronze", build)
 
     def ev_bronze(self) -> DataFrame:
         return self._stored(
@@ -65,6 +73,9 @@ class Lake:
         # a partition folder's name reads back as text
         return stored.withColumn("is_valid", F.col("is_valid").cast("boolean"))
 
+    def quarantined(self) -> DataFrame:
+        return self._stored("quarantine", lambda: silver.quarantined_rows(self.tagged()))
+
     def silver(self) -> DataFrame:
         return self._stored(
             "silver", lambda: clustered(silver.deduplicate(silver.valid_rows(self.tagged())))

@@ -569,7 +569,10 @@ placed AS (
 )"""
 )
 
-_FP = "SELECT '{}' AS table_name, count(*) AS n_rows, {} AS amount_pln, TRUE AS identical FROM silver"
+_MOVED = (
+    "moved AS (SELECT * REPLACE (event_time + INTERVAL 400 DAY AS event_time,"
+    " CAST(event_date + INTERVAL 400 DAY AS DATE) AS event_date) FROM source)"
+)
 _DECILES = " UNION ALL ".join(
     f"SELECT '{name}' AS feature, {i} AS decile, round(quantile_cont({sql}, {i / 10}), 6) AS value"
     " FROM scored"
@@ -617,6 +620,14 @@ _FEATURE_ROWS = ", ".join(
     ["round(log_amount_pln, 6) AS log_amount_pln", "hour", *_FLAGS]
 )
 
+_GOLD_VOLUMES = (
+    f"SELECT 'daily_volume_by_country' AS table_name, count(*) AS n_rows, {_VOLUME} AS volume_pln"
+    f" FROM daily UNION ALL SELECT 'merchant_category_kpi', count(*), {_VOLUME} FROM category"
+    " UNION ALL SELECT 'account_velocity', count(*), CAST(sum(CAST(total_amount_pln AS"
+    " DECIMAL(28,2))) AS DOUBLE) FROM velocity UNION ALL SELECT 'fraud_signals', count(*),"
+    f" {_money_sum()} FROM silver UNION ALL SELECT 'scored_transactions', count(*),"
+    f" {_money_sum()} FROM silver"
+)
 _UPSERT_SIDE = """{0} AS (
   SELECT * FROM (SELECT *, row_number() OVER (
       PARTITION BY transaction_id ORDER BY ingestion_time DESC, _offset DESC) AS copy_no
@@ -740,19 +751,40 @@ ORACLE: dict[str, str] = {
         " ORDER BY md5(transaction_id), transaction_id LIMIT 5000",
     ),
     "table_fingerprint": _with(
-        SILVER,
-        _FP.format("silver", _money_sum()) + " UNION ALL " + _FP.format("scored", _money_sum()),
-    ),
-    "job_silver": _with(SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
-    "job_gold": _with(
         GOLD,
-        f"SELECT 'daily_volume_by_country' AS table_name, count(*) AS n_rows, {_VOLUME} AS volume_pln"
-        f" FROM daily UNION ALL SELECT 'merchant_category_kpi', count(*), {_VOLUME} FROM category"
-        " UNION ALL SELECT 'account_velocity', count(*), CAST(sum(CAST(total_amount_pln AS"
-        " DECIMAL(28,2))) AS DOUBLE) FROM velocity UNION ALL SELECT 'fraud_signals', count(*),"
-        f" {_money_sum()} FROM silver UNION ALL SELECT 'scored_transactions', count(*),"
-        f" {_money_sum()} FROM silver",
+        f"SELECT *, TRUE AS identical FROM ({_GOLD_VOLUMES} UNION ALL SELECT 'silver', count(*), {_money_sum()}"
+        f" FROM silver UNION ALL SELECT 'quarantine', count(*), {_money_sum()} FROM priced WHERE dq_errors <> '')",
+    ),
+    "quarantine_append": _with(
+        PRICED,
+        "SELECT step, count(*) * times AS n_rows FROM priced, (VALUES ('first', 1), ('again', 1), ('unkeyed', 2))"
+        " steps(step, times) WHERE dq_errors <> '' GROUP BY step, times",
     ),
+    "upsert_moved_day": _with(
+        PRICED + ", " + _UPSERT_SIDE.format("target", ">=") + ", " + _UPSERT_SIDE.format("source", "<") + ", " + _MOVED,
+        f"SELECT {_SILVER_COLUMNS} FROM moved UNION ALL SELECT {_SILVER_COLUMNS} FROM target"
+        " WHERE transaction_id NOT IN (SELECT transaction_id FROM source)",
+    ),
+    "report_roundtrip": _with(_PROFILES, "SELECT * FROM profiles WHERE run_id = 'silver'"),
+    "pipeline_gate": _with(
+        _PROFILES,
+        "SELECT gate.run_id, share > most AS stopped, CAST(CASE WHEN share > most THEN 0 ELSE 5 END AS BIGINT) AS"
+        " gold_tables FROM (SELECT quarantined_count / CAST(row_count + quarantined_count AS DOUBLE) AS share"
+        " FROM profiles WHERE run_id = 'silver'), (VALUES ('strict', 0.05e0), ('lenient', 0.2e0)) gate(run_id, most)",
+    ),
+    "stream_restart": "SELECT step, CAST(n AS BIGINT) AS bronze_rows FROM (SELECT count(*) FILTER (WHERE"
+    " (event_id // 3) % 2 = 0) AS half, count(*) AS whole FROM events), LATERAL (VALUES ('first file', half),"
+    " ('replay', half), ('second file', whole)) steps(step, n)",
+    "gbt_train_eval": _with(
+        _HOLDOUT,
+        "SELECT count(*) AS n_samples, count(*) FILTER (WHERE is_fraud_label) AS n_fraud,"
+        " count(*) FILTER (WHERE place <= ceil(n * 0.25e0)) AS holdout_n,"
+        " round(count(*) FILTER (WHERE is_fraud_label AND place <= ceil(n * 0.25e0))"
+        " / CAST(count(*) FILTER (WHERE place <= ceil(n * 0.25e0)) AS DOUBLE), 4) AS holdout_positive_rate,"
+        " TRUE AS beats_chance, TRUE AS beats_no_skill FROM placed",
+    ),
+    "job_silver": _with(SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
+    "job_gold": _with(GOLD, _GOLD_VOLUMES),
     "q1_top_countries": _with(GOLD, _BY_COUNTRY + " LIMIT 10"),
     "q2_category_fraud_rate": _with(
         GOLD,

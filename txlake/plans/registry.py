@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from txlake.constants import (
     SILVER_COLUMNS,
     WIRE_FIELDS,
 )
-from txlake.functions.clock import utc_day, utc_wall_clock
+from txlake.functions.clock import utc_wall_clock
 from txlake.functions.rules import standard_rules
 from txlake.functions.signals import psi_band
 from txlake.functions.wire import with_wire_errors
@@ -31,7 +32,7 @@ from txlake.plans import jobs, serving
 from txlake.plans.fixtures import ev_envelope
 from txlake.plans.lake import Lake
 from txlake.schemas import payload_schema
-from txlake.sources import shared, snapshot, tables
+from txlake.sources import reports, shared, snapshot, tables
 from txlake.sources.fx import fx_rates
 from txlake.streaming.bronze_stream import read_file_stream, run_bronze
 
@@ -41,6 +42,8 @@ DRIFT_CUT = date(1998, 1, 1)
 UPSERT_CUT = date(1997, 1, 1)
 HORIZON_AS_OF = date(1998, 8, 1)
 HORIZON_DAYS = 365
+#: What tells two line items of the test tables apart.
+ARRIVAL = ("transaction_id", "ingestion_time", "_offset")
 
 
 def _wall(name: str) -> Column:
@@ -169,7 +172,8 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def horizon_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = Lake(spark, sf_dir).tx_bronze().withColumn("ingestion_date", utc_day(F.col("ingestion_time")))
+    """The cutoff reaches the stored table's day column, so files and row groups before it are skipped."""
+    bronze = Lake(spark, sf_dir).tx_bronze()
     return tables.horizon_filter(bronze, HORIZON_AS_OF, HORIZON_DAYS).select(
         F.col("data.transaction_id").alias("transaction_id"), "_offset", "ingestion_date"
     )
@@ -354,35 +358,97 @@ def live_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbt_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model trained in full, as the figures that don't depend on its trees and whether it beats chance."""
     path = shared.fresh_path(spark, "model")
-    return training.train(spark, Lake(spark, sf_dir).silver(), path, rounds=5)
+    row = training.train(spark, Lake(spark, sf_dir).silver(), path)
+    return row.select(
+        "n_samples",
+        "n_fraud",
+        "holdout_n",
+        "holdout_positive_rate",
+        (F.col("roc_auc") > 0.5).alias("beats_chance"),
+        (F.col("pr_auc") > F.col("holdout_positive_rate")).alias("beats_no_skill"),
+    )
 
 
 # --- tables and jobs --------------------------------------------------------- #
 
+VOLUMES = {
+    "daily_volume_by_country": "total_volume_pln",
+    "merchant_category_kpi": "total_volume_pln",
+    "account_velocity": "total_amount_pln",
+    "fraud_signals": "amount_pln",
+    "scored_transactions": "amount_pln",
+}
+
+
+def _volume(rows: DataFrame, name: str, *more: Column) -> DataFrame:
+    """One line of a table: its name, rows and money."""
+    money = F.sum(F.col(VOLUMES.get(name, "amount_pln")).cast("decimal(28,2)")).cast("double")
+    return rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), money.alias("volume_pln"), *more)
+
+
+def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects appended twice by their keys, and once more without; rows after each append."""
+    rejected = silver.quarantined_rows(Lake(spark, sf_dir).tagged())
+    path, counts = shared.fresh_path(spark, "quarantine"), []
+    for step, keys in (("first", ARRIVAL), ("again", ARRIVAL), ("unkeyed", ())):
+        tables.append_quarantine(rejected, path, keys)
+        counts.append(tables.read_quarantine(spark, path).agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n_rows")))
+        counts[-1] = shared.stage(counts[-1], "count")
+    return reduce(DataFrame.unionByName, counts)
+
+
+def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert through files: older arrivals replace newer ones and all move 400 days on."""
+    valid = silver.valid_rows(Lake(spark, sf_dir).tagged())
+    old = F.unix_seconds("ingestion_time") < int(pd.Timestamp(UPSERT_CUT).timestamp())
+    moved = silver.deduplicate(valid.filter(old)).withColumns(
+        {"event_time": F.col("event_time") + F.make_dt_interval(F.lit(400)), "event_date": F.date_add("event_date", 400)}
+    )
+    path = shared.fresh_path(spark, "moved")
+    for batch in (silver.deduplicate(valid.filter(~old)), moved, moved):
+        tables.upsert_silver(spark, batch, path, unit="year")
+    return _shown_silver(tables.read_silver(spark, path))
+
+
+def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality metrics as a later job reads them back from the stored report."""
+    root = shared.fresh_path(spark, "reports")
+    reports.write_report(quality_profile(spark, sf_dir), root, "quality_metrics", "silver")
+    return reports.read_report(spark, root, "quality_metrics", "silver")
+
+
+def pipeline_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline behind a strict and a lenient gate: whether it stopped, and the gold tables there are."""
+    bronze, rows = Lake(spark, sf_dir).tx_bronze(), []
+    for run_id, most in (("strict", 0.05), ("lenient", 0.2)):
+        layout = jobs.Layout(shared.fresh_path(spark, f"gate-{run_id}"), unit="year")
+        stopped = False
+        try:
+            jobs.run_pipeline(spark, layout, run_id, HORIZON_AS_OF, max_quarantine_ratio=most, bronze=bronze)
+        except jobs.GateFailed:
+            stopped = True
+        rows.append((run_id, stopped, len(shared.child_names(spark, layout.gold))))
+    return spark.createDataFrame(rows, "run_id STRING, stopped BOOLEAN, gold_tables BIGINT")
+
 
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot and restore of silver and scores; counts and sums of the restored copies."""
+    """Snapshot and restore of all seven tables; rows, money and sameness of the restored copies."""
     lake = Lake(spark, sf_dir)
-    lake.scored()
+    lake.build_gold()
+    lake.quarantined()
     base = shared.fresh_path(spark, "snapshot")
-    held = {"silver": lake.path("silver"), "scored": lake.path("gold/scored_transactions")}
+    held = {"silver": lake.path("silver"), "quarantine": lake.path("quarantine")}
+    held |= {name: f"{lake.gold_root}/{name}" for name in VOLUMES}
     snapshot.snapshot_tables(spark, held, f"{base}/copy", writers_paused=True)
     snapshot.restore_tables(spark, f"{base}/copy", f"{base}/restored")
     parts = []
     for name, path in held.items():
         restored = spark.read.parquet(f"{base}/restored/{name}")
-        source = snapshot.fingerprint(spark.read.parquet(path)).first()
-        same = source == snapshot.fingerprint(restored).first()
-        parts.append(
-            restored.agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.sum(F.col("amount_pln").cast("decimal(18,2)")).cast("double").alias("amount_pln"),
-                F.lit(same).alias("identical"),
-            )
-        )
-    return parts[0].unionByName(parts[1])
+        same = snapshot.fingerprint(spark.read.parquet(path)).first() == snapshot.fingerprint(restored).first()
+        parts.append(_volume(restored, name, F.lit(same).alias("identical")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def job_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,25 +468,8 @@ def job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = jobs.Layout(shared.fresh_path(spark, "job-gold"), unit="year")
     tables.upsert_silver(spark, Lake(spark, sf_dir).silver(), layout.silver, unit=layout.unit)
     jobs.run_gold(spark, layout, "first")
-    measures = {
-        "daily_volume_by_country": "total_volume_pln",
-        "merchant_category_kpi": "total_volume_pln",
-        "account_velocity": "total_amount_pln",
-        "fraud_signals": "amount_pln",
-        "scored_transactions": "amount_pln",
-    }
-    parts = [
-        spark.read.parquet(f"{layout.gold}/{name}").agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.col(measure).cast("decimal(28,2)")).cast("double").alias("volume_pln"),
-        )
-        for name, measure in measures.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    parts = [_volume(spark.read.parquet(f"{layout.gold}/{name}"), name) for name in VOLUMES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _served(name: str) -> Query:
@@ -470,6 +519,10 @@ def all_queries() -> dict[str, Query]:
         "stratified_split": stratified_split,
         "live_sample": live_sample,
         "gbt_train_eval": gbt_train_eval,
+        "quarantine_append": quarantine_append,
+        "upsert_moved_day": upsert_moved_day,
+        "report_roundtrip": report_roundtrip,
+        "pipeline_gate": pipeline_gate,
         "table_fingerprint": table_fingerprint,
         "job_silver": job_silver,
         "job_gold": job_gold,
