@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txlake.llm import chat, decontaminate, flatgraph, packing, quality, secrets, simhash, sitetree, tokencount, toxicity
 from txlake.llm.common import table
+from txlake.llm.oracle import ORACLE  # noqa: F401 - registered beside the queries
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
@@ -113,6 +114,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
-
-#: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
