@@ -18,6 +18,7 @@ from txlake.constants import (
     QUALITY_COUNTERS,
 )
 from txlake.functions import money
+from txlake.functions.rules import without_nulls
 
 
 def quality_profile(
@@ -194,35 +195,31 @@ def quality_gate(
         F.max("n").alias("most"),
         F.max(F.col("check").isNull() | (F.col("untold") > 0)).alias("malformed"),
         F.count_if(F.col("check").isin(*QUALITY_CHECKS)).alias("required"),
+        F.collect_set(F.when(~F.col("passed"), F.col("check"))).alias("stored"),  # names of checks, a few
     )
-    judged = metrics.withColumn("sound", _sound_metrics()).join(by_run, "run_id", "left")
+    judged = metrics.join(by_run, "run_id", "left")
     complete = F.coalesce((F.col("required") == len(QUALITY_CHECKS)) & (F.col("most") == 1), F.lit(False))
-    judged = judged.withColumn(
-        "damage",
-        F.when(~F.col("sound"), BAD_METRICS)
+    damage = (
+        F.when(~_sound_metrics(), BAD_METRICS)
         .when(F.coalesce("malformed", F.lit(False)), BAD_CHECKS)
-        .when(~complete, INCOMPLETE_CHECKS),
-    )
-    damaged = judged.filter(F.col("damage").isNotNull()).select(
-        "run_id", F.col("damage").alias("failure")
-    )
-    intact = judged.filter(F.col("damage").isNull())
-    stored = intact.select("run_id").join(
-        by_check.filter(~F.col("passed")).select("run_id", "check"), "run_id"
-    )
-    recomputed = quality_checks(intact).filter(~F.col("passed")).select("run_id", "check")
-    failed = (
-        stored.union(recomputed)
-        .distinct()
-        .select("run_id", F.concat(F.lit("check failed: "), "check").alias("failure"))
+        .when(~complete, INCOMPLETE_CHECKS)
     )
+    recomputed = [
+        F.when(~F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in _check_conditions().items()
+    ]
+    names = F.array_union("stored", without_nulls(recomputed))
+    failed = F.transform(names, lambda name: F.concat(F.lit("check failed: "), name))
     share = F.col("quarantined_count") / F.nullif(
         F.col("row_count") + F.col("quarantined_count"), F.lit(0)
     )
-    too_many = intact.filter(share > max_quarantine_ratio).select(
-        "run_id",
+    too_many = F.when(
+        share > max_quarantine_ratio,
         F.format_string(
             "quarantine ratio %.3f exceeds max %.3f", share, F.lit(float(max_quarantine_ratio))
-        ).alias("failure"),
+        ),
+    )
+    found = F.when(damage.isNotNull(), F.array(damage)).otherwise(
+        F.concat(failed, without_nulls([too_many]))
     )
-    return damaged.unionByName(failed).unionByName(too_many)
+    # one pass over the metrics: all of a run's failures are an array of one projection
+    return judged.select("run_id", F.explode(found).alias("failure"))

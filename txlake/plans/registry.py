@@ -213,7 +213,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = _all_profiles(spark, sf_dir)
+    profiles = shared.stage(_all_profiles(spark, sf_dir), "profiles")  # as the job stores its report
     return quality.quality_gate(profiles, quality.quality_checks(profiles))
 
 
