@@ -41,7 +41,7 @@ class Limits:
     segments: int = 128
     loss_tokens: int = 2048
     slack: int = 8
-    pool: int = 1024
+    pool: int = 192
 
 
 @dataclass

@@ -11,11 +11,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 
 #: Fewer words than this are kept; at the bound the memo starts again.
-MEMO_WORDS = 350_000
+MEMO_WORDS = 600_000
 #: New words are joined into texts of this many for one call of the library.
 JOINED = 400
 
@@ -30,19 +32,31 @@ def encoder(path: str) -> WordEncoder:
     return _OPEN[path]
 
 
+def _byte_characters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            stages = json.load(file)["pre_tokenizer"].get("pretokenizers", [])
+            setup = json.load(file)
+        stages = setup["pre_tokenizer"].get("pretokenizers", [])
         if not any("\\s" in str(s.get("pattern", "")) and s.get("behavior") == "Removed" for s in stages):
             raise ValueError(f"{path}: its pre-tokens may span white space, words can't be encoded alone")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.separator = self.library.encode("0", add_special_tokens=False).ids
+        # NFC and lower case, letters as one pre-token, bytes as characters: then the model can take a word of letters as it is
+        kinds = [n["type"] for n in (setup["normalizer"] or {}).get("normalizers", [])]
+        self.plain = kinds == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in stages] == ["Split", "ByteLevel"]
+        self.shown = _byte_characters()
         self.memo: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
 
@@ -76,22 +90,39 @@ class WordEncoder:
         """Letters followed by ASCII marks are two pre-tokens, each encoded and kept alone."""
         if len(self.stems) > MEMO_WORDS:
             self.stems = {"": b""}
-        cut = {w: self._parts(w) for w in words}
-        missing = {p for parts in cut.values() for p in parts if p not in self.stems}
-        self._encode(sorted(missing))
-        stems = self.stems
-        self.memo.update((w, b"".join([stems[p] for p in parts])) for w, parts in cut.items())
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
+        stems, memo, model, marked = self.stems, self.memo, self.library.model, _LETTERS_THEN_MARKS.match
+        later: list[str] = []
+        cut: list[tuple[str, str, str]] = []
+        for word in words:
+            stem, marks = word, ""
+            if not word.isalpha() and (m := marked(word)) and "<|" not in word:
+                stem, marks = m[1], m[2]
+            if stem.isalpha():
+                stem = self._letters(stem)
+                if stem and stem not in stems:
+                    stems[stem] = array("I", [t.id for t in model.tokenize(stem)]).tobytes()
+            else:
+                stem = ""
+            if not stem:
+                later.append(word)
+            elif marks:
+                if marks not in stems:
+                    later.append(marks)
+                cut.append((word, stem, marks))
+            else:
+                memo[word] = stems[stem]
+        self._encode(sorted(set(later).difference(stems)))
+        memo.update((w, stems[a] + stems[b]) for w, a, b in cut)
+        memo.update((w, stems[w]) for w in later)
+
+    def _letters(self, word: str) -> str:
+        """What the tokenizer's normalizer and byte map make of a word of letters; nothing if it isn't one pre-token then."""
         if word.isascii():
-            if word.isalpha():
-                return (word.lower(),)
-            if (m := _LETTERS_THEN_MARKS.match(word)) and m[1].isalpha() and "<|" not in word:
-                return m[1].lower(), m[2]
-        elif (m := _LETTERS_THEN_MARKS.match(word)) and m[1].isalpha() and "<|" not in word:
-            return m[1], m[2]
-        return (word,)
+            return word.lower() if self.plain else ""
+        plain = unicodedata.normalize("NFC", word)
+        if not self.plain or "\u03a3" in plain or not (plain := plain.lower()).isalpha():
+            return ""
+        return plain.encode().decode("latin-1").translate(self.shown)
 
     def _encode(self, words: list[str]) -> None:
         """Joined by a digit, which is a pre-token of its own; words that hold it go alone."""
