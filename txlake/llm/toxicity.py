@@ -22,7 +22,7 @@ from txlake.llm.labelled import fold, training_rows
 
 SIZES = (3, 4, 5, 6)
 HASH_BITS = 18
-FEATURES = 4096
+FEATURES = 2048
 MAX_TRAINING_ROWS = 20_000
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 SMOOTHING = 1.0
@@ -53,12 +53,12 @@ def ngrams(text: str) -> Iterator[np.ndarray]:
 
 
 def present(text: str, number: np.ndarray) -> np.ndarray:
-    """Features that a text holds; ``number`` has each bucket's feature, or -1."""
+    """Whether a text holds each feature; ``number`` has each bucket's feature, or -1."""
     held = np.zeros(int(number.max(initial=-1)) + 1, bool)
     for buckets in ngrams(text):
         found = number[buckets]
         held[found[found >= 0]] = True
-    return np.flatnonzero(held)
+    return held
 
 
 @dataclass
@@ -117,37 +117,33 @@ def fit(rows: DataFrame, features: int = FEATURES) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [present(t, number).astype(np.int32) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["y", "held"]
-            )
-
-    # at most MAX_TRAINING_ROWS rows with up to FEATURES numbers each
-    data = rows.mapInArrow(run, "y int, held array<int>").orderBy("y", "held").toPandas()
-    y = (data["y"].to_numpy() > 0).astype(float)
-    sizes = data["held"].map(len).to_numpy()
-    flat = np.concatenate([np.asarray(h, np.int64) for h in data["held"]] or [np.zeros(0, np.int64)])
-    row = np.repeat(np.arange(len(y)), sizes)
-    w, bias = _logistic(flat, row, r[flat], y, len(chosen), prior)
+            found = [np.packbits(present(t, number)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.binary())], names=["y", "held"])
+
+    # a bit per feature: at most MAX_TRAINING_ROWS * FEATURES / 8 bytes; in a fixed order, so that sums come out alike
+    data = sorted((y, bytes(held)) for y, held in rows.mapInArrow(run, "y int, held binary").toPandas().itertuples(index=False))
+    packed = np.frombuffer(b"".join(held for _, held in data), np.uint8).reshape(len(data), -1)
+    x = np.unpackbits(packed, axis=1, count=len(chosen)).astype(np.float32)
+    w, bias = _logistic(x, r.astype(np.float32), np.array([y > 0 for y, _ in data], np.float32), prior)
     return Model(number, w * r, bias)
 
 
-def _logistic(column: np.ndarray, row: np.ndarray, value: np.ndarray, y: np.ndarray, width: int, bias: float):
-    """Accelerated gradient descent, each coordinate scaled by its curvature's bound."""
-    w, before, n = np.zeros(width), np.zeros(width), len(y)
+def _logistic(x: np.ndarray, r: np.ndarray, y: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """Weights of the columns ``x * r`` by accelerated gradient descent, each scaled by its curvature's bound."""
+    n, width = x.shape
+    w, before = np.zeros(width, np.float32), np.zeros(width, np.float32)
     b, b_before = bias, bias
-    load = np.bincount(row, np.abs(value), n) + 1  # sum of |x| in a row bounds the Hessian's row
-    step = 1 / (0.25 * np.bincount(column, np.abs(value) * load[row], width) / n + PENALTY)
-    b_step = 1 / (0.25 * load.mean())
+    load = x @ np.abs(r) + 1  # the sum of |value| in a row bounds the Hessian's row
+    step = 1 / (0.25 * np.abs(r) * (load @ x) / n + PENALTY)
+    b_step = 1 / (0.25 * float(load.mean()))
     for t in range(STEPS):
         ahead = t / (t + 3)
         v, c = w + ahead * (w - before), b + ahead * (b - b_before)
-        z = np.clip(np.bincount(row, value * v[column], n) + c, -30, 30)
-        error = 1 / (1 + np.exp(-z)) - y
+        error = 1 / (1 + np.exp(-np.clip(x @ (v * r) + c, -30, 30))) - y
         before, b_before = w, b
-        w = v - step * (np.bincount(column, value * error[row], width) / n + PENALTY * v)
-        b = c - b_step * error.mean()
-    return w, b
+        w = (v - step * (r * (error @ x) / n + PENALTY * v)).astype(np.float32)
+        b = float(c - b_step * error.mean())
+    return w.astype(float), b
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
