@@ -199,3 +199,10 @@ def test_a_weighted_reference_equals_its_rows(spark):
     long = spark.createDataFrame([("x", v, values.count(v)) for v in set(values)], "feature STRING, value DOUBLE, n BIGINT")
     live = column(spark, [2.0, 5.0, 7.0] * 50)
     assert drift.feature_drift(long, live, ["x"]).first() == drift.feature_drift(column(spark, values), live, ["x"]).first()
+
+
+def test_running_totals_of_many_keys_need_no_broadcast(spark):
+    rows = spark.range(2000).selectExpr("id % 500 AS k", "CAST(id AS DOUBLE) AS v", "1 AS n")
+    few, many = (ordered.running_totals(rows, "v", ["n"], by=["k"], few_keys=f) for f in (True, False))
+    assert few.exceptAll(many).isEmpty() and few.count() == many.count() == 2000
+    assert many.where("cum_n = 4 AND total_n = 4").count() == 500

@@ -41,11 +41,14 @@ def running_totals(
     by: Sequence[str] = (),
     per_key: dict[str, Column] | None = None,
     chunks: int | None = None,
+    few_keys: bool = True,
 ) -> DataFrame:
     """Per distinct ``value``: each measure ``m``, ``cum_m`` (sum up to here), ``total_m``.
 
     ``by`` restarts the totals per key; it is meant for a handful of keys, such
-    as feature names or class labels, and one key may hold nearly all rows.
+    as feature names or class labels, and one key may hold nearly all rows. With keys
+    without such a bound say ``few_keys=False``: then the chunk totals, up to
+    ``MAX_CHUNKS`` rows per key, are joined as Spark sees fit and not broadcast.
     ``per_key`` adds columns computed from the ``total_m`` columns, once per
     chunk instead of once per row. Nulls in ``value`` are left out; NaN sorts last.
     """
@@ -79,7 +82,7 @@ def running_totals(
     )
     local = chunked.select("*", *[F.sum(m).over(inside).alias(f"_local_{m}") for m in measures])
     # A left join, because an inner one would push a null check of the chunk down to the raw rows.
-    return local.join(F.broadcast(offsets), [*keys, "_chunk"], "left").select(
+    return local.join(F.broadcast(offsets) if few_keys else offsets, [*keys, "_chunk"], "left").select(
         *keys,
         value,
         *measures,
