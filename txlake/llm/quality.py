@@ -194,9 +194,10 @@ def fit(rows: DataFrame) -> Model:
             found = [describe(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.float64()))], names=["y", "x"])
 
-    data = rows.mapInArrow(run, "y int, x array<double>").orderBy("y", "x").toPandas()  # bounded by training_rows
-    x = np.array(data["x"].tolist(), float).reshape(len(data), len(NUMBERS))
-    return fit_tables(x, (data["y"].to_numpy() > 0).astype(float))
+    found = rows.mapInArrow(run, "y int, x array<double>").toPandas()  # bounded by training_rows
+    data = sorted((y, *x) for y, x in found.itertuples(index=False))  # a fixed order, so that sums come out alike
+    table = np.array(data, float).reshape(len(data), 1 + len(NUMBERS))
+    return fit_tables(table[:, 1:], (table[:, 0] > 0).astype(float))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
