@@ -53,6 +53,11 @@ def test_words_give_the_texts_ids(library):
     assert encoder(PATH).ids(text) == brute.np.array(ids_of(library, text), "<u4").tobytes()
 
 
+def test_words_that_look_like_another_ones_bytes(library):
+    for text in ["é Ã©", "Ã© é", "naïve naÃ¯ve", "Ä Ġ ĠĠ Ä", "ñ, Ã±, Ã± ñ"]:
+        assert encoder(PATH).ids(text) == brute.np.array(ids_of(library, text), "<u4").tobytes()
+
+
 def pieces_hold(pieces, whole, capacity):
     """Each id once, sequences without gaps and within the limit; gives tokens and padding."""
     by_doc, by_sequence = {}, {}
@@ -119,3 +124,15 @@ def test_a_mask_of_another_length_is_refused(spark):
     df = spark.createDataFrame([(1, [1, 2], [True])], "doc_id long, ids array<int>, loss array<boolean>")
     with pytest.raises(Exception, match="loss marks"):
         packing.pack_tokens(df).collect()
+
+
+def test_the_memo_is_bounded(monkeypatch, library):
+    from txlake.llm import wordbpe
+
+    own = wordbpe.WordEncoder(PATH)
+    monkeypatch.setattr(wordbpe, "MEMO_WORDS", 50)
+    monkeypatch.setattr(wordbpe, "MEMO_CHARS", 4000)
+    for text in [" ".join(f"word{i} other{i}, é{'ab' * (i % 7)}." for i in range(n, n + 40)) for n in range(0, 400, 40)] + ["x" * 9000 + " y"]:
+        own.prepare([text])
+        assert own.ids(text) == brute.np.array(ids_of(library, text), "<u4").tobytes()
+        assert len(own.memo) <= 200 and own.chars <= 9100

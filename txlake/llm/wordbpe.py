@@ -16,8 +16,9 @@ from array import array
 
 import numpy as np
 
-#: Fewer words than this are kept; at the bound the memo starts again.
-MEMO_WORDS = 600_000
+#: Fewer words and characters than this are kept; at the bound the memo starts again.
+MEMO_WORDS = 300_000
+MEMO_CHARS = 16_000_000
 #: New words are joined into texts of this many for one call of the library.
 JOINED = 400
 
@@ -57,8 +58,16 @@ class WordEncoder:
         kinds = [n["type"] for n in (setup["normalizer"] or {}).get("normalizers", [])]
         self.plain = kinds == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in stages] == ["Split", "ByteLevel"]
         self.shown = _byte_characters()
+        self._forget()
+
+    def _forget(self) -> None:
         self.memo: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}  # by what the model takes, which may look like another word
+        self.stems: dict[str, bytes] = {"": b""}  # by the text itself
+        self.chars = 0
+
+    def _full(self) -> bool:
+        return max(len(self.memo), len(self.letters), len(self.stems)) > MEMO_WORDS or self.chars > MEMO_CHARS
 
     def ids(self, text: str) -> bytes:
         """All ids of a text as little-endian 32-bit integers."""
@@ -69,8 +78,8 @@ class WordEncoder:
 
     def prepare(self, texts: list[str]) -> None:
         """Learn the words of many texts with few calls of the library."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {"": b""}
+        if self._full():
+            self._forget()
         self._learn({w for t in texts for w in t.replace("\n", " ").split(" ")}.difference(self.memo))
 
     def _words(self, text: str) -> list[bytes]:
@@ -80,17 +89,16 @@ class WordEncoder:
             return [memo[w] for w in words]
         except KeyError:
             self._learn({w for w in words if w not in memo})
-        if len(memo) <= MEMO_WORDS:
-            return [memo[w] for w in words]
         found = [memo[w] for w in words]
-        self.memo = {"": b""}
+        if self._full():
+            self._forget()
         return found
 
     def _learn(self, words: set[str]) -> None:
         """Letters followed by ASCII marks are two pre-tokens, each encoded and kept alone."""
-        if len(self.stems) > MEMO_WORDS:
-            self.stems = {"": b""}
-        stems, memo, model, marked = self.stems, self.memo, self.library.model, _LETTERS_THEN_MARKS.match
+        self.chars += sum(map(len, words))
+        letters, stems, memo = self.letters, self.stems, self.memo
+        model, marked = self.library.model, _LETTERS_THEN_MARKS.match
         later: list[str] = []
         cut: list[tuple[str, str, str]] = []
         for word in words:
@@ -99,8 +107,8 @@ class WordEncoder:
                 stem, marks = m[1], m[2]
             if stem.isalpha():
                 stem = self._letters(stem)
-                if stem and stem not in stems:
-                    stems[stem] = array("I", [t.id for t in model.tokenize(stem)]).tobytes()
+                if stem and stem not in letters:
+                    letters[stem] = array("I", [t.id for t in model.tokenize(stem)]).tobytes()
             else:
                 stem = ""
             if not stem:
@@ -110,9 +118,9 @@ class WordEncoder:
                     later.append(marks)
                 cut.append((word, stem, marks))
             else:
-                memo[word] = stems[stem]
+                memo[word] = letters[stem]
         self._encode(sorted(set(later).difference(stems)))
-        memo.update((w, stems[a] + stems[b]) for w, a, b in cut)
+        memo.update((w, letters[a] + stems[b]) for w, a, b in cut)
         memo.update((w, stems[w]) for w in later)
 
     def _letters(self, word: str) -> str:
