@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.sources.shared import stage
+from txlake.sources.shared import discard, stage
 
 #: Far more than any graph needs whose components halve each round.
 MOST_ROUNDS = 60
@@ -33,20 +33,26 @@ def components(edges: DataFrame) -> DataFrame:
         parents.append(parent)
         a = parent.select(F.col("id").alias("a"), F.col("up").alias("ra"))
         b = parent.select(F.col("id").alias("b"), F.col("up").alias("rb"))
-        pairs = stage(
+        before, pairs = pairs, stage(
             pairs.join(a, "a").join(b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
             "edges",
         )
+        discard(before)
     else:
         raise RuntimeError("components did not settle")
-    spark = edges.sparkSession
+    discard(pairs)
     if not parents:
-        return spark.createDataFrame([], "id long, component long")
+        return edges.sparkSession.createDataFrame([], "id long, component long")
     result = parents[0].withColumnRenamed("up", "component")
     for parent in parents[1:]:
         up = parent.select(F.col("id").alias("component"), "up")
         result = result.join(up, "component", "left").select("id", F.coalesce("up", "component").alias("component"))
-    return stage(result, "components") if len(parents) > 1 else result
+    if len(parents) == 1:
+        return result
+    result = stage(result, "components")
+    for parent in parents:
+        discard(parent)
+    return result
 
 
 def _rooted(parent: DataFrame) -> DataFrame:
@@ -56,6 +62,7 @@ def _rooted(parent: DataFrame) -> DataFrame:
         jumped = stage(
             parent.join(over, "up").select("id", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "parents"
         )
+        discard(parent)
         parent = jumped.select("id", "up")
         if jumped.where("moved").isEmpty():
             return parent
