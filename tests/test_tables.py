@@ -217,6 +217,16 @@ def test_an_unreadable_plan_is_an_error(spark, folder, text):
     assert contents(spark, path) == [("a", 1, 100.0)]
 
 
+def test_only_staged_tables_are_discarded(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/own")
+    staged = shared.stage(spark.range(2), "t")
+    for df in (spark.read.parquet(f"{folder}/own"), staged, spark.range(1)):
+        shared.discard(df)
+    assert spark.read.parquet(f"{folder}/own").count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FileNotFound|does not exist"):
+        staged.count()
+
+
 def test_a_failed_gold_write_leaves_the_old_table(spark, folder):
     path = f"{folder}/gold"
     tables.write_gold(spark.range(3), path)

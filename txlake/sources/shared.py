@@ -45,6 +45,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete the folder of a table made by ``stage`` that nothing reads any more."""
+    spark = staged.sparkSession
+    own = f"{shared_root(spark)}/txlake/".split(":", 1)[-1].lstrip("/")
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        if own in folder:
+            delete(spark, folder)
+
+
 def _handle(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
     where = hadoop.Path(path)
