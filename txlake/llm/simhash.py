@@ -36,17 +36,22 @@ QUARTERS = [0xFFFF << (16 * i) for i in range(4)]
 COUNTED = 1 << 14
 
 
-def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
-    """Bits set in over half of the hashes of a text's shingles; 0 without words."""
+def shingle_hashes(text: str, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """A hash for every shingle of a text, repeats included; none without words."""
     tokens = text.encode().lower().split()  # bytes: only A-Z change, and only ASCII white space splits
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     begins = np.concatenate([[0], ends[:-1] + 1]).tolist()
     stops = ends[min(words, len(tokens)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in zip(begins, stops, strict=False)), np.uint64, len(stops))
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(begins, stops, strict=False)), np.uint64, len(stops))
+
+
+def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
+    """Bits set in over half of the hashes of a text's shingles; 0 without words."""
+    hashes = shingle_hashes(text, words)
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), COUNTED):
         part = hashes[i : i + COUNTED].view(np.uint8).reshape(-1, 8)
