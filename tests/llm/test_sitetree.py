@@ -74,3 +74,23 @@ def test_importance_is_the_entropy_over_pages(spark):
     assert tree[key("div.", "p.")] == (0.0, 0.0)  # one style and one text on all eight pages
     assert tree[key("div.b")][0] == round(1 / 3, 6)  # two styles, four pages each: log 2 / log 8
     assert tree[key("div.b", "h2.")] == (0.0, 1.0)  # a text of each page's own
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    page = "<div class=text><p>the same words</p></div>"
+    other = [(100 + i, f"http://b/{i}", f"<div class=text><p>own words {i}</p></div>") for i in range(4)]
+    rows = [(i, f"http://a/{i}", page) for i in range(8)] + [(20 + i, f"http://b/x{i}", page) for i in range(30)] + other
+    found = sitetree.extract(spark.createDataFrame([(*r, "h", 1) for r in rows], ROWS).repartition(3))
+    text = {r.page_id: r.text for r in found.collect()}
+    assert all(text[i] == "the same words" for i in (*range(8), *range(20, 50)))
+    assert all(text[100 + i] == f"own words {i}" for i in range(4))
+
+
+def test_a_page_of_shared_text_alone_is_not_empty():
+    page = "<nav>menu</nav><div class=a><p>shared</p></div>"
+    root, blocks = sitetree.parse(page)
+    todo, site = [root], {}
+    for node in todo:
+        todo += [p for p in node.parts if isinstance(p, sitetree.Node)]
+        site[node.key] = (0.0, 0.0)
+    assert sitetree.main_text(root, blocks, site) == "shared"

@@ -183,17 +183,22 @@ def main_text(root: Node, blocks: list[str], site: dict[int, tuple[float, float]
         under = all(low[id(p)] if isinstance(p, Node) else told < LEAST_IMPORTANCE for p in node.parts)
         low[id(node)] = node.noise or under and worth[id(node)] < LEAST_IMPORTANCE
     has_main = any(n.main and not n.noise and n.parts for n, _ in order)
-    kept, gone = [], set()
+    kept, gone, open_text = [], set(), []
+    noisy = {id(root)} if root.noise else set()
     for node, up in order:
+        if node.noise or up is not None and id(up) in noisy:
+            noisy.add(id(node))
+        else:
+            open_text += [p for p in node.parts if isinstance(p, int)]
         if low[id(node)] or up is not None and id(up) in gone:
             gone.add(id(node))
         elif node.main or not has_main:
             kept += [p for p in node.parts if isinstance(p, int) and (node.main or site.get(node.key, (1.0, 1.0))[1] >= LEAST_IMPORTANCE)]
-    return " ".join(blocks[i] for i in sorted(kept))
+    return " ".join(blocks[i] for i in sorted(kept or open_text))  # a page of shared text alone keeps what isn't noise
 
 
 def site_tree(pages: DataFrame) -> DataFrame:
-    """``host, elements array<struct<key, shown, told>>``: importance of the elements that enough pages hold."""
+    """``host, elements array<struct<key, shown, told>>``: importance of the elements that enough pages hold; copies are one page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 512):
@@ -206,7 +211,8 @@ def site_tree(pages: DataFrame) -> DataFrame:
                 names=["host", "key", "style", "value", "n"],
             )
 
-    each = pages.select("host", "html").mapInArrow(run, "host string, key long, style boolean, value long, n long")
+    distinct = pages.groupBy("host", F.xxhash64("html").alias("copy")).agg(F.first("html").alias("html"))
+    each = distinct.select("host", "html").mapInArrow(run, "host string, key long, style boolean, value long, n long")
     counted = each.groupBy("host", "key", "style", "value").agg(F.sum("n").alias("n"))
     spread = F.col("n") * F.log("n")
     sums = counted.groupBy("host", "key").agg(
