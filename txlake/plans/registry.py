@@ -400,11 +400,17 @@ def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert through files: older arrivals replace newer ones and all move 400 days on."""
+    """Upsert through files: older arrivals replace newer ones and all move 400 days on.
+
+    The instant moves, not the local clock of the session, which may change by an hour on the way.
+    """
     valid = silver.valid_rows(Lake(spark, sf_dir).tagged())
     old = F.unix_seconds("ingestion_time") < int(pd.Timestamp(UPSERT_CUT).timestamp())
     moved = silver.deduplicate(valid.filter(old)).withColumns(
-        {"event_time": F.col("event_time") + F.make_dt_interval(F.lit(400)), "event_date": F.date_add("event_date", 400)}
+        {
+            "event_time": F.timestamp_micros(F.unix_micros("event_time") + 400 * 86_400_000_000),
+            "event_date": F.date_add("event_date", 400),
+        }
     )
     path = shared.fresh_path(spark, "moved")
     for batch in (silver.deduplicate(valid.filter(~old)), moved, moved):
