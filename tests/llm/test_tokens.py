@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import string
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -40,6 +43,11 @@ def test_counts_are_the_librarys(messy, nothing, library):
         "one two three " * 300,
         "né é́ " * 200 + "<|endoftext|>" * 30,
         "don't we'll it's " * 100 + "\n\n\n" * 50,
+        "天地玄黄宇宙洪荒。日月盈昃，辰宿列张" * 60,
+        "aGVsbG8gd29ybGQ+L1/x9Zk0Q7" * 90,
+        "if(a1!='s'&&b2['ll']){c('ve')};" * 60,
+        "İ,İ1é́e̋,2x̂3 " * 80 + "İİ.." * 99,
+        "ab1<|startoftext|>c2<|endoftext|>" * 60,
     ],
 )
 def test_splicing_gives_the_whole_texts_count(library, text):
@@ -48,6 +56,22 @@ def test_splicing_gives_the_whole_texts_count(library, text):
         assert tokencount.spliced_count(text, encode, chunk, overlap) == len(ids_of(library, text))
 
 
+def test_long_texts_without_spaces_are_encoded_few_times(library):
+    encoded = []
+
+    def encode(text):
+        encoded.append(len(text))
+        return tokencount.library_encoding(library)(text)
+
+    drawn = random.Random(3)
+    chinese = "".join(drawn.choice("，。天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏") for _ in range(200_000))
+    base64 = "".join(drawn.choices(string.ascii_letters + string.digits + "+/", k=200_000))
+    for text in (chinese, base64, "".join(drawn.choices(string.ascii_letters, k=200_000))):
+        encoded.clear()
+        assert tokencount.spliced_count(text, encode, 20_000, 512) == len(ids_of(library, text))
+        assert sum(encoded) < 1.6 * len(text)
+
+
 def test_words_give_the_texts_ids(library):
     text = "It's ÀB, (x)... <|startoftext|> ΑΣ ß 1st no.0 #tag_x  wide naïve… l'été ½a ⅷ"
     assert encoder(PATH).ids(text) == brute.np.array(ids_of(library, text), "<u4").tobytes()

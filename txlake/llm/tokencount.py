@@ -2,10 +2,9 @@
 
 A text beyond ``chunk_chars`` is encoded in overlapping chunks with offsets. Two
 neighbours are spliced at a position in their overlap that both encodings start a
-token at, that follows white space (where the tokenizer's rules end every
-pre-token, so what comes after can't depend on what came before), and from which
-on both give the same ids. Where no such position exists the overlap is doubled,
-up to encoding both chunks as one.
+token at, that is a boundary of pre-tokens whatever stands before and after it, and
+from which on both give the same ids. Where the overlap holds no such position it
+is doubled; where a chunk holds none at all, the chunk is.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +35,31 @@ def library_encoding(library) -> Callable[[str], Encoded]:
     return encode
 
 
-def splice_point(text: str, left: Encoded, right: Encoded, begin: int, end: int) -> int | None:
-    """The first proven stable common boundary in ``text[begin:end]``; starts are positions in the text."""
+#: Positions that end every pre-token: behind a space or line feed, and where letters, numbers and marks
+#: meet, numbers among themselves too. Not before a combining mark, which a normal form may draw into the
+#: character before it, nor behind an apostrophe, which may take letters along, nor behind the capital I
+#: with a dot, whose lower case ends in a mark.
+_BOUNDARY = regex.compile(
+    r"(?<=[ \n])(?=\S)|(?<=\p{N})(?=[^\s\p{M}])|(?<=[^\s\p{M}])(?=\p{N})"
+    r"|(?<=[^\P{L}\u0130])(?=[^\s\p{L}\p{N}\p{M}])|(?<=[^\s\p{L}\p{N}\p{M}'])(?=\p{L})"
+)
+#: No boundary this near to the opening of a special token, which may be one across it.
+_SPECIAL, _SPECIAL_REACH = "<|", 32
+
+
+def boundaries(text: str, begin: int, end: int) -> list[int]:
+    """Positions in ``text[begin + 1:end]`` that are boundaries of pre-tokens whatever stands around them."""
+    found = [m.start() for m in _BOUNDARY.finditer(text, begin, min(end + 1, len(text))) if begin < m.start() < end]
+    if _SPECIAL in text[max(0, begin - _SPECIAL_REACH) : end + _SPECIAL_REACH]:
+        found = [p for p in found if _SPECIAL not in text[max(0, p - _SPECIAL_REACH) : p + _SPECIAL_REACH]]
+    return found
+
+
+def splice_point(stable: list[int], left: Encoded, right: Encoded) -> int | None:
+    """The first of the stable positions that both encodings start at and agree from; starts are positions in the text."""
     (a_ids, a_at), (b_ids, b_at) = left, right
-    whole = max(text.rfind(" ", begin, end), text.rfind("\n", begin, end))  # beyond it the left chunk may end inside a word
-    for at in np.intersect1d(a_at[a_at > begin], b_at[b_at < end]):
-        if text[at - 1] not in " \n" or at > whole:
-            continue
+    whole = stable[-1]  # beyond it the left chunk may end inside a pre-token
+    for at in np.intersect1d(np.intersect1d(a_at, b_at), np.array(stable[:-1], np.int64)):
         i, j = np.searchsorted(a_at, at), np.searchsorted(b_at, at)
         n = min(AGREEING, np.searchsorted(a_at, whole) - i)
         if n > 0 and np.array_equal(a_ids[i : i + n], b_ids[j : j + n]) and np.array_equal(a_at[i : i + n], b_at[j : j + n]):
@@ -50,31 +68,37 @@ def splice_point(text: str, left: Encoded, right: Encoded, begin: int, end: int)
 
 
 def spliced_count(text: str, encode: Callable[[str], Encoded], chunk: int, overlap: int) -> int:
-    """Tokens of a text, from chunks of ``chunk`` characters that overlap by ``overlap`` at first."""
+    """Tokens of a text, from chunks of ``chunk`` characters that overlap by ``overlap`` at first.
+
+    What is encoded again grows by halves at most: a chunk without a boundary is
+    first made twice as long and only then encoded.
+    """
 
     def part(begin: int, end: int) -> Encoded:
         ids, at = encode(text[begin:end])
         return ids, at + begin
 
     total, settled, end = 0, 0, min(chunk, len(text))
-    left = part(0, end)
+    left: Encoded | None = None
     while end < len(text):
-        wide = overlap
-        while True:
+        wide, after, at = overlap, min(len(text), end + chunk), None
+        while at is None:
             begin = max(settled, end - wide)
-            after = min(len(text), max(begin + chunk, end + overlap))
-            right = part(begin, after)
-            at = splice_point(text, left, right, begin, end)
-            if at is not None:
-                total += int(np.count_nonzero((left[1] >= settled) & (left[1] < at)))
-                settled, left = at, right
-                break
-            if begin == settled:  # nothing to splice at: both chunks become one
-                left = part(settled, after)
+            stable = boundaries(text, begin, end)
+            if len(stable) > 1:
+                left = left or part(settled, end)
+                right = part(begin, after)
+                at = splice_point(stable, left, right)
+            if begin == settled:
                 break
             wide *= 2
-        end = after
-    return total + int(np.count_nonzero(left[1] >= settled))
+        if at is None:
+            end, left = min(len(text), max(2 * end - settled, after)), None
+        else:
+            total += int(np.count_nonzero(left[1] < at))
+            keep = right[1] >= at
+            settled, left, end = at, (right[0][keep], right[1][keep]), after
+    return total + len((left or part(settled, end))[0])
 
 
 def count_tokens(
