@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as cp
 from tests.llm import brute
 from tests.llm.test_decontaminate import brute_overlaps
+from tests.llm.test_shingles import alike, sets
 from txlake.llm import quality
 from txlake.llm.common import table
 from txlake.sources.shared import stage
@@ -34,9 +35,9 @@ def test_stages_decide_as_brute_force(spark):
         after = {r.doc_id: r for r in rows}
         assert len(after) == len(rows)
         if name == "near_duplicates":
-            prints = {i: brute.simhash(r.text) for i, r in before.items()}
-            pairs = [(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 2]
-            expected[name] = set(brute.classes(prints, pairs).values())
+            said = {i: sets(r.text) for i, r in before.items()}
+            pairs = [(i, j) for i in said for j in said if i < j and alike(said[i], said[j])]
+            expected[name] = set(brute.classes(said, pairs).values())
         if name == "decontamination":
             items = [tuple(r) for r in table(spark, SF_DIR, "benchmark").select("item_id", "text").collect()]
             leaks = brute_overlaps([(i, r.text) for i, r in before.items()], items)

@@ -40,6 +40,12 @@ def test_deep_and_long_pages():
     assert text_of(f"<article><p>{long}</p></article>") == long
 
 
+@pytest.mark.parametrize("begin", ["<p ", "<script ", "</p ", "<!-- ", "<!x ", "<p a"])
+def test_a_page_that_ends_inside_a_tag_ends_at_once(begin):
+    text_of(f"<p>a</p>{begin}" + ' a="b>" c=\'d\'' * 2000)
+    text_of(f"<p>a</p>{begin}" + ' a="b' * 2001)
+
+
 def site(n):
     """Pages without any named part: a box that stays the same, a menu, and a text of each page's own."""
     pages = []

@@ -37,8 +37,8 @@ DECAY = 0.9
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)
-    |<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*?>.*?(?:</(?P=raw)\b[^>]*>|\Z)
-    |<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*?)>
+    |<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+>.*?(?:</(?P=raw)\b[^>]*>|\Z)
+    |<(?P<close>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>
     |<[!?/][^>]*>
     |</?[a-z][^>]*\Z
     |(?P<text>[^<]+|<)""",
