@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import chat, decontaminate, flatgraph, packing, quality, secrets, simhash, sitetree, tokencount, toxicity
+from txlake.llm import (
+    chat,
+    collocation,
+    decontaminate,
+    flatgraph,
+    multiset,
+    packing,
+    quality,
+    resample,
+    secrets,
+    simhash,
+    sitetree,
+    tokencount,
+    toxicity,
+)
 from txlake.llm.common import table
 from txlake.llm.oracle import ORACLE  # noqa: F401 - registered beside the queries
 
@@ -102,6 +116,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiset.compared(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        multiset.shown(F.col("print")).alias("fingerprint"),
+        multiset.shown(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_html": op2_html,
@@ -113,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_resample": op12_resample,
+    "op13_collocations": op13_collocations,
 }
