@@ -33,6 +33,25 @@ def mean(amount: Column) -> Column:
     return F.round(F.sum(wide) / F.nullif(F.count(wide), F.lit(0)), 2).cast("double")
 
 
+def sums(amount: Column, prefix: str) -> list[Column]:
+    """What ``total`` and ``mean`` of parts need to be merged, and how many amounts neither takes."""
+    wide = amount.try_cast(_WIDE)
+    return [
+        F.sum(amount.try_cast(_CENTS)).alias(f"{prefix}_cents"),
+        F.sum(wide).alias(f"{prefix}_wide"),
+        F.count(wide).alias(f"{prefix}_counted"),
+        F.count_if(amount.isNotNull() & amount.try_cast(_CENTS).isNull()).alias(f"{prefix}_unfit"),
+    ]
+
+
+def merged_total(prefix: str) -> Column:
+    return F.sum(f"{prefix}_cents").cast("double")
+
+
+def merged_mean(prefix: str) -> Column:
+    return F.round(F.sum(f"{prefix}_wide") / F.nullif(F.sum(f"{prefix}_counted"), F.lit(0)), 2).cast("double")
+
+
 def rate(part: Column, whole: Column, places: int = 5) -> Column:
     """``part / whole`` rounded; NULL when ``whole`` is zero."""
     return F.round(part.cast("double") / F.nullif(whole, F.lit(0)), places)

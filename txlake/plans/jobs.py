@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -61,12 +62,15 @@ def run_silver(
     as_of: date,
     horizon_days: int = HORIZON_DAYS,
     bronze: DataFrame | None = None,
+    upsert: Callable[[DataFrame], None] | None = None,
+    profile_of: Callable[[int], DataFrame] | None = None,
 ) -> DataFrame:
     """Bronze to silver, quarantine and quality report; returns the metrics row.
 
     The bronze scan, JSON and rules run once: tagged rows are staged by
     ``is_valid`` and everything after reads its own half of the staging. The
-    upsert writes days already clustered by account.
+    upsert writes days already clustered by account. ``upsert`` and ``profile_of``
+    (from the number of rejects) may take the place of the whole-table forms.
     """
     if bronze is None:
         bronze = tables.read_bronze(spark, layout.bronze, as_of, horizon_days)
@@ -76,16 +80,20 @@ def run_silver(
     tagged = spark.read.schema(tagged.schema).parquet(staging)
 
     latest = silver.deduplicate(silver.valid_rows(tagged))
-    tables.upsert_silver(spark, latest, layout.silver, unit=layout.unit)
+    if upsert is None:
+        tables.upsert_silver(spark, latest, layout.silver, unit=layout.unit)
+    else:
+        upsert(latest)
     rejected = silver.quarantined_rows(tagged)
     quarantined = rejected.count()
     if quarantined:
         tables.append_quarantine(rejected, layout.quarantine)
     shared.delete(spark, staging)
 
-    profile = quality.quality_profile(
-        tables.read_silver(spark, layout.silver), quarantined, run_id
-    )
+    if profile_of is None:
+        profile = quality.quality_profile(tables.read_silver(spark, layout.silver), quarantined, run_id)
+    else:
+        profile = profile_of(quarantined)
     reports.write_report(profile, layout.reports, "quality_metrics", run_id)
     metrics = reports.read_report(spark, layout.reports, "quality_metrics", run_id)
     reports.write_report(

@@ -635,6 +635,16 @@ _UPSERT_SIDE = """{0} AS (
   WHERE copy_no = 1
 )"""
 
+_MOVED_SILVER = (
+    PRICED + ", " + _UPSERT_SIDE.format("target", ">=") + ", " + _UPSERT_SIDE.format("source", "<") + ", " + _MOVED + """,
+silver AS (
+  SELECT * FROM moved UNION ALL SELECT * FROM target WHERE transaction_id NOT IN (SELECT transaction_id FROM source)
+)"""
+)
+_AFTER_MOVES = _with(_MOVED_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver")
+#: The same tables over the moved rows.
+_MOVED_GOLD = _MOVED_SILVER + GOLD.removeprefix(SILVER)
+
 ORACLE: dict[str, str] = {
     "bronze_frame": _BRONZE,
     "stream_bronze": _BRONZE,
@@ -760,11 +770,8 @@ ORACLE: dict[str, str] = {
         "SELECT step, count(*) * times AS n_rows FROM priced, (VALUES ('first', 1), ('again', 1), ('unkeyed', 2))"
         " steps(step, times) WHERE dq_errors <> '' GROUP BY step, times",
     ),
-    "upsert_moved_day": _with(
-        PRICED + ", " + _UPSERT_SIDE.format("target", ">=") + ", " + _UPSERT_SIDE.format("source", "<") + ", " + _MOVED,
-        f"SELECT {_SILVER_COLUMNS} FROM moved UNION ALL SELECT {_SILVER_COLUMNS} FROM target"
-        " WHERE transaction_id NOT IN (SELECT transaction_id FROM source)",
-    ),
+    "upsert_moved_day": _AFTER_MOVES,
+    "upsert_indexed": _AFTER_MOVES,
     "report_roundtrip": _with(_PROFILES, "SELECT * FROM profiles WHERE run_id = 'silver'"),
     "pipeline_gate": _with(
         _PROFILES,
@@ -785,6 +792,8 @@ ORACLE: dict[str, str] = {
     ),
     "job_silver": _with(SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
     "job_gold": _with(GOLD, _GOLD_VOLUMES),
+    "job_silver_indexed": _with(SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
+    "job_gold_incremental": _with(_MOVED_GOLD, _GOLD_VOLUMES),
     "q1_top_countries": _with(GOLD, _BY_COUNTRY + " LIMIT 10"),
     "q2_category_fraud_rate": _with(
         GOLD,
@@ -831,3 +840,8 @@ ORACLE: dict[str, str] = {
         f" total_fraud, {_rate5('sum(fraud_count)', 'sum(tx_count)')} AS fraud_rate FROM daily",
     ),
 }
+
+ORACLE |= {
+    "category_kpi_merged": ORACLE["merchant_category_kpi"],
+    "quality_profile_merged": ORACLE["quality_profile"],
+}

@@ -26,13 +26,13 @@ from txlake.functions.clock import utc_wall_clock
 from txlake.functions.rules import standard_rules
 from txlake.functions.signals import psi_band
 from txlake.functions.wire import with_wire_errors
-from txlake.operators import drift, evaluation, gold, ordered, quality, scoring, silver, training
+from txlake.operators import drift, evaluation, gold, ordered, quality, scoring, silver, states, training
 from txlake.operators.bronze import build_bronze_frame, encode_wire, ingest_run_stats
-from txlake.plans import jobs, serving
+from txlake.plans import incremental, jobs, serving
 from txlake.plans.fixtures import ev_envelope
 from txlake.plans.lake import Lake
 from txlake.schemas import payload_schema
-from txlake.sources import reports, shared, snapshot, tables
+from txlake.sources import keys, reports, shared, snapshot, tables
 from txlake.sources.fx import fx_rates
 from txlake.streaming.bronze_stream import read_file_stream, run_bronze
 
@@ -399,8 +399,8 @@ def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert through files: older arrivals replace newer ones and all move 400 days on.
+def _moving_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Newer arrivals, and older ones that replace some of them and all move 400 days on.
 
     The instant moves, not the local clock of the session, which may change by an hour on the way.
     """
@@ -412,12 +412,29 @@ def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_date": F.date_add("event_date", 400),
         }
     )
+    return silver.deduplicate(valid.filter(~old)), moved
+
+
+def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert through files, the second batch twice."""
+    first, moved = _moving_batches(spark, sf_dir)
     path = shared.fresh_path(spark, "moved")
-    for batch in (silver.deduplicate(valid.filter(~old)), moved, moved):
+    for batch in (first, moved, moved):
         tables.upsert_silver(spark, batch, path, unit="year")
     return _shown_silver(tables.read_silver(spark, path))
 
 
+def upsert_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the key index, which is built, extended and compacted on the way."""
+    first, moved = _moving_batches(spark, sf_dir)
+    path = shared.fresh_path(spark, "indexed")
+    tables.upsert_silver(spark, first, path, unit="year")
+    keys.upsert_indexed(spark, moved, path, unit="year")
+    keys.compact(spark, path, tables.UNITS["year"], "transaction_id")
+    keys.upsert_indexed(spark, moved, path, unit="year")
+    return _shown_silver(tables.read_silver(spark, path))
+
+
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality metrics as a later job reads them back from the stored report."""
     root = shared.fresh_path(spark, "reports")
@@ -478,6 +495,41 @@ def job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def job_silver_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``job_silver`` by the key index: half of bronze, all of it, and all of it again."""
+    layout = jobs.Layout(shared.fresh_path(spark, "job-indexed"), unit="year")
+    bronze = Lake(spark, sf_dir).tx_bronze()
+    for run_id, rows in (("half", bronze.where("_offset % 2 = 0")), ("first", bronze), ("second", bronze)):
+        incremental.run_silver(spark, layout, run_id, HORIZON_AS_OF, bronze=rows)
+    return _shown_silver(tables.read_silver(spark, layout.silver))
+
+
+def quality_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job's report in two batches, merged from one state per partition."""
+    layout = jobs.Layout(shared.fresh_path(spark, "job-profile"), unit="year")
+    bronze = Lake(spark, sf_dir).tx_bronze()
+    for run_id, rows in (("half", bronze.where("_offset % 3 = 0")), ("silver", bronze)):
+        metrics = incremental.run_silver(spark, layout, run_id, HORIZON_AS_OF, bronze=rows)
+    return metrics
+
+
+def job_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold built, then brought up to date after an upsert that moves days; rows and volume of its tables."""
+    layout = jobs.Layout(shared.fresh_path(spark, "job-gold-incremental"), unit="year")
+    first, moved = _moving_batches(spark, sf_dir)
+    for batch in (first, moved):
+        keys.upsert_indexed(spark, batch, layout.silver, unit=layout.unit)
+        incremental.run_gold(spark, layout)
+    parts = [_volume(spark.read.parquet(f"{layout.gold}/{name}"), name) for name in VOLUMES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def category_kpi_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category table from stored states of a year, category and account each."""
+    rows = tables.placed(Lake(spark, sf_dir).silver(), "year")
+    return states.category_kpi(shared.stage(states.category_state(rows, tables.UNITS["year"]), "categories"))
+
+
 def _served(name: str) -> Query:
     return lambda spark, sf_dir: serving.serve(spark, name, Lake(spark, sf_dir).build_gold())
 
@@ -527,11 +579,16 @@ def all_queries() -> dict[str, Query]:
         "gbt_train_eval": gbt_train_eval,
         "quarantine_append": quarantine_append,
         "upsert_moved_day": upsert_moved_day,
+        "upsert_indexed": upsert_indexed,
         "report_roundtrip": report_roundtrip,
         "pipeline_gate": pipeline_gate,
         "table_fingerprint": table_fingerprint,
         "job_silver": job_silver,
         "job_gold": job_gold,
+        "job_silver_indexed": job_silver_indexed,
+        "quality_profile_merged": quality_profile_merged,
+        "job_gold_incremental": job_gold_incremental,
+        "category_kpi_merged": category_kpi_merged,
     }
     for name in serving.QUERIES:
         named[name] = _served(name)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Folders of local applications that name none.
 _LOCAL: dict[str, str] = {}
+#: Names of the folders that ``stage`` has made and ``discard`` may delete; no two are alike.
+_STAGED: set[str] = set()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -41,17 +43,17 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     path = fresh_path(df.sparkSession, label)
+    _STAGED.add(path.rsplit("/", 1)[1])
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(staged: DataFrame) -> None:
-    """Delete the folder of a table made by ``stage`` that nothing reads any more."""
+    """Delete the folder of a table made by ``stage`` that nothing reads any more; other tables stay."""
     spark = staged.sparkSession
-    own = f"{shared_root(spark)}/txlake/".split(":", 1)[-1].lstrip("/")
-    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
-        if own in folder:
-            delete(spark, folder)
+    for name in {file.rsplit("/", 2)[-2] for file in staged.inputFiles()} & _STAGED:
+        delete(spark, f"{shared_root(spark)}/txlake/{name}")
+        _STAGED.discard(name)
 
 
 def _handle(spark: SparkSession, path: str):
@@ -79,6 +81,19 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(where, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _handle(spark, path)
+    fs.mkdirs(where)
+
+
+def stamp(spark: SparkSession, path: str) -> str:
+    """Names and times of what lies directly under a folder; empty when it is missing."""
+    fs, where = _handle(spark, path)
+    if not fs.exists(where):
+        return ""
+    return " ".join(sorted(f"{s.getPath().getName()}@{s.getModificationTime()}" for s in fs.listStatus(where)))
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Move a folder; the parent of ``target`` is made when missing."""
     fs, src = _handle(spark, source)

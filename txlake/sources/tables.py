@@ -9,12 +9,14 @@ done. A table has one writer at a time: two would share its staging folder.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from txlake.constants import GOLD_TABLES, HORIZON_DAYS, SILVER_COLUMNS
 from txlake.sources import shared
@@ -73,10 +75,30 @@ def merged_rows(target: DataFrame, source: DataFrame, key: str = "transaction_id
     return source.unionByName(kept.select(*source.columns))
 
 
+def partition_values(spark: SparkSession, path: str, partition: str) -> list[date]:
+    """The partitions of a table, from the names of its folders."""
+    prefix = f"{partition}="
+    names = [n for n in shared.child_names(spark, path) if n.startswith(prefix)]
+    return [date.fromisoformat(n.removeprefix(prefix)) for n in names]
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*SILVER_COLUMNS)
 
 
+def read_partitions(
+    spark: SparkSession, path: str, partition: str, days: Sequence[date], schema: StructType | None = None
+) -> DataFrame:
+    """The rows of some partitions; folders of others are not listed. Without a schema one of these tells it."""
+    there = set(shared.child_names(spark, path))
+    wanted = [f"{path}/{n}" for n in sorted({f"{partition}={d}" for d in days}) if n in there]
+    reader = spark.read.option("basePath", path)
+    if not wanted:
+        return spark.createDataFrame([], schema or spark.read.parquet(path).schema)
+    schema = schema or reader.parquet(wanted[0]).schema
+    return reader.schema(schema).parquet(*wanted).select(*schema.fieldNames())
+
+
 def upsert_silver(
     spark: SparkSession,
     valid: DataFrame,
@@ -89,10 +111,13 @@ def upsert_silver(
     ``valid`` must hold each key once. Only the partitions it touches are
     rewritten: its own and those holding an older copy of one of its keys,
     which may have moved day. The batch is staged first, as it is read several times.
+    Every key of the table is read; ``keys.upsert_indexed`` needs its index instead,
+    which this function drops, as it would miss the batch.
     """
     partition = UNITS[unit]
     valid = placed(valid, unit)
     publish_pending(spark, path)
+    shared.delete(spark, index_root(path))
     batch_path = shared.fresh_path(spark, "batch")
     try:
         valid.write.parquet(batch_path)
@@ -107,7 +132,7 @@ def upsert_silver(
         if shared.holds_data(spark, path):
             merged = merged_rows(target.filter(F.col(partition).isin(days)), valid, key)
         if days:
-            _replace_days(spark, merged, path, partition, days)
+            replace_partitions(spark, merged, path, partition, days)
     finally:
         shared.delete(spark, batch_path)
 
@@ -122,28 +147,70 @@ def optimize_silver(
         return
     silver = spark.read.parquet(path)
     if days is None:
-        prefix = f"{partition}="
-        names = [n for n in shared.child_names(spark, path) if n.startswith(prefix)]
-        days = [date.fromisoformat(n.removeprefix(prefix)) for n in names]
+        days = partition_values(spark, path, partition)
     else:
         silver = silver.filter(F.col(partition).isin(list(days)))
-    _replace_days(spark, silver, path, partition, days)
+    replace_partitions(spark, silver, path, partition, days, changed=False)
+
+
+def index_root(path: str) -> str:
+    """Where the key index of a table lies."""
+    return f"{path.rstrip('/')}.__keys"
+
+
+def _touched_path(path: str) -> str:
+    return f"{path.rstrip('/')}.__touched"
+
+
+def track_changes(spark: SparkSession, path: str, reader: str) -> None:
+    """From now on each publish notes for ``reader`` the partitions it changes, until they are forgotten."""
+    shared.make_folder(spark, f"{_touched_path(path)}/{reader}")
+
+
+def tracks_changes(spark: SparkSession, path: str, reader: str) -> bool:
+    return shared.exists(spark, f"{_touched_path(path)}/{reader}")
+
+
+def noted_changes(spark: SparkSession, path: str, reader: str) -> tuple[list[date], list[str]]:
+    """Partitions changed since ``reader`` last forgot some, and the notes that say so."""
+    root = f"{_touched_path(path)}/{reader}"
+    notes = [f"{root}/{n}" for n in shared.child_names(spark, root)]
+    if not notes:
+        return [], []
+    days = spark.read.text(notes).distinct().collect()  # one line per partition
+    return sorted(date.fromisoformat(r[0].split("=")[1]) for r in days), notes
+
+
+def forget_changes(spark: SparkSession, notes: Sequence[str]) -> None:
+    for note in notes:
+        shared.delete(spark, note)
 
 
 def _pending_path(path: str) -> str:
     return f"{path.rstrip('/')}.__pending"
 
 
-def _replace_days(
-    spark: SparkSession, rows: DataFrame, path: str, partition: str, days: Sequence[date]
+def replace_partitions(
+    spark: SparkSession,
+    rows: DataFrame,
+    path: str,
+    partition: str,
+    days: Sequence[date],
+    arrange: Callable[[DataFrame], DataFrame] | None = None,
+    changed: bool = True,
 ) -> None:
+    """Put ``rows`` in the place of some partitions; those without rows are dropped.
+
+    ``arrange`` lays out the rows (``clustered`` by default); ``changed=False`` says that
+    the partitions hold the same rows as before.
+    """
     pending = _pending_path(path)
     # A staging folder without its plan was cut short, and is written again.
     shared.delete(spark, pending)
-    clustered(rows).write.partitionBy(partition).parquet(f"{pending}/rows")
+    (arrange or clustered)(rows).write.partitionBy(partition).parquet(f"{pending}/rows")
     listed = {f"{partition}={d.isoformat()}" for d in days}
     filled = listed & set(shared.child_names(spark, f"{pending}/rows"))
-    plan = {"filled": sorted(filled), "emptied": sorted(listed - filled)}
+    plan = {"filled": sorted(filled), "emptied": sorted(listed - filled), "changed": changed}
     spark.createDataFrame([(json.dumps(plan),)], "plan STRING").coalesce(1).write.text(
         f"{pending}/plan"
     )
@@ -166,6 +233,10 @@ def publish_pending(spark: SparkSession, path: str) -> bool:
         filled, emptied = list(plan["filled"]), list(plan["emptied"])
     except (TypeError, KeyError, ValueError) as error:
         raise ValueError(f"unreadable plan in {pending}; nothing was published") from error
+    for reader in shared.child_names(spark, _touched_path(path)) if plan.get("changed") else ():
+        # before anything moves: a partition noted too often is only recomputed once more
+        lines = spark.createDataFrame([(day,) for day in filled + emptied], "day STRING")
+        lines.coalesce(1).write.text(f"{_touched_path(path)}/{reader}/{uuid.uuid4().hex}")
     waiting = set(shared.child_names(spark, f"{pending}/rows"))
     for day in filled:
         if day in waiting:
