@@ -1,8 +1,8 @@
 """Phrase collocations, counted with broadcast double-array tries.
 
-Three passes over the texts. The first counts hashes of all runs of one to four
-words in a fixed number of buckets; a run that occurs often lies in a bucket that
-is counted often. The second takes as candidates the runs that lie in such buckets
+Three passes over the texts. The first counts all runs of one to four words in two
+tables of hash buckets of a fixed size; a run that occurs often lies in a bucket of
+either that is counted often. The second takes as candidates the runs that lie in such buckets
 themselves and whose parts all do (no frequent run is left out, as its parts occur
 at least as often). The third counts the candidates: they are cut into tries of a
 fixed size, which are broadcast a few at a time, and in each task numpy advances
@@ -33,8 +33,8 @@ COVERED = 80
 MOST_PHRASES = 2000
 SCALE = 2_000_000
 
-#: Buckets a level, in bits; they are written and summed in blocks.
-BITS, BLOCK_BITS = 24, 16
+#: Tables of a level, and the buckets of each, in bits; they are written and summed in blocks.
+TABLES, BITS, BLOCK_BITS = 2, 23, 16
 #: Candidates of one trie, and tries broadcast at once.
 TRIE_PHRASES, TRIES = 200_000, 4
 #: Text of one language that is cut into words at once.
@@ -119,21 +119,23 @@ def runs(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray, list[tuple[np.
     return begins, ends, levels
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BITS)).astype(np.uint32)
+def _buckets(h: np.ndarray) -> list[np.ndarray]:
+    """The bucket of each run in each table."""
+    return [((h >> np.uint64(64 - (t + 1) * BITS)) & np.uint64((1 << BITS) - 1)).astype(np.uint32) for t in range(TABLES)]
 
 
 class BucketCounts:
-    """How often each bucket of a level was met, up to ``LEAST_COUNT``."""
+    """How often each bucket of each table was met, up to ``LEAST_COUNT``; the tables of a level follow each other."""
 
     def __init__(self) -> None:
-        self.counts = np.zeros((MOST_WORDS, 1 << BITS), np.uint8)
-        self.waiting: list[list[np.ndarray]] = [[] for _ in range(MOST_WORDS)]
+        self.counts = np.zeros((MOST_WORDS * TABLES, 1 << BITS), np.uint8)
+        self.waiting: list[list[np.ndarray]] = [[] for _ in range(MOST_WORDS * TABLES)]
         self.n = 0
 
     def add(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        for found, (h, valid) in zip(self.waiting, levels, strict=True):
-            found.append(_bucket(h[valid]))
+        for level, (h, valid) in enumerate(levels):
+            for t, buckets in enumerate(_buckets(h[valid])):
+                self.waiting[level * TABLES + t].append(buckets)
         self.n += len(levels[0][0])
         if self.n > HELD:
             self.settle()
@@ -147,16 +149,17 @@ class BucketCounts:
         self.n = 0
 
     def blocks(self) -> Iterator[tuple[int, int, bytes]]:
+        """Table, block and its counts."""
         self.settle()
-        for level, counts in enumerate(self.counts):
+        for number, counts in enumerate(self.counts):
             for block, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
                 if part.any():
-                    yield level, block, pa.compress(part.tobytes(), codec="zstd", asbytes=True)
+                    yield number, block, pa.compress(part.tobytes(), codec="zstd", asbytes=True)
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """First pass: words by language (``level`` -1), and for each task its buckets in compressed blocks."""
-    names = ["level", "block", "counts", "lang", "n"]
+    """First pass: words by language (``table`` -1), and for each task its buckets in compressed blocks."""
+    names = ["table", "block", "counts", "lang", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, words = BucketCounts(), {}
@@ -166,42 +169,43 @@ def _counted(rows: DataFrame) -> DataFrame:
                     begins, _, levels = runs(part, lang)
                     words[lang] = words.get(lang, 0) + len(begins) - tail
                     buckets.add(levels)
-        yield pa.RecordBatch.from_pylist([{"level": -1, "block": -1, "lang": k, "n": n} for k, n in words.items()], pa.schema(fields))
-        for level, block, counts in buckets.blocks():
-            yield pa.RecordBatch.from_pylist([{"level": level, "block": block, "counts": counts}], pa.schema(fields))
+        yield pa.RecordBatch.from_pylist([{"table": -1, "block": -1, "lang": k, "n": n} for k, n in words.items()], pa.schema(fields))
+        for number, block, counts in buckets.blocks():
+            yield pa.RecordBatch.from_pylist([{"table": number, "block": block, "counts": counts}], pa.schema(fields))
 
     fields = list(zip(names, (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64()), strict=True))
-    return rows.mapInArrow(run, "level int, block int, counts binary, lang string, n long")
+    return rows.mapInArrow(run, "table int, block int, counts binary, lang string, n long")
 
 
 def _frequent_buckets(blocks: DataFrame) -> list[np.ndarray]:
-    """For each level a bit per bucket, set where all tasks together met it ``LEAST_COUNT`` times."""
+    """For each table a bit per bucket, set where all tasks together met it ``LEAST_COUNT`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in slices(batches):
-            for level, block, counts in zip(*(batch.column(c).to_pylist() for c in ("level", "block", "counts")), strict=True):
+            for number, block, counts in zip(*(batch.column(c).to_pylist() for c in ("table", "block", "counts")), strict=True):
                 part = np.frombuffer(pa.decompress(counts, 1 << BLOCK_BITS, codec="zstd"), np.uint8)
-                so_far = sums.get((level, block))
-                sums[level, block] = part if so_far is None else np.minimum(so_far + part, LEAST_COUNT)
+                so_far = sums.get((number, block))
+                sums[number, block] = part if so_far is None else np.minimum(so_far + part, LEAST_COUNT)
         found = [(*k, np.packbits(s >= LEAST_COUNT).tobytes()) for k, s in sums.items()]
-        level, block, bits = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(block, pa.int32()), pa.array(bits, pa.binary())], names=["level", "block", "bits"])
+        number, block, bits = zip(*found, strict=True) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), pa.array(block, pa.int32()), pa.array(bits, pa.binary())], names=["table", "block", "bits"])
 
-    maps = [np.zeros(1 << (BITS - 3), np.uint8) for _ in range(MOST_WORDS)]
-    dealt = blocks.select("level", "block", "counts").repartition("level", "block")
-    for row in dealt.mapInArrow(run, "level int, block int, bits binary").collect():  # 8 MB in all
+    maps = [np.zeros(1 << (BITS - 3), np.uint8) for _ in range(MOST_WORDS * TABLES)]
+    dealt = blocks.select("table", "block", "counts").repartition("table", "block")
+    for row in dealt.mapInArrow(run, "table int, block int, bits binary").collect():  # 8 MB in all
         size = 1 << (BLOCK_BITS - 3)
-        maps[row.level][row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
+        maps[row.table][row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return maps
 
 
 def _safe(levels: list[tuple[np.ndarray, np.ndarray]], maps: list[np.ndarray]) -> list[np.ndarray]:
-    """For each level where a run begins that lies in a frequent bucket as all its parts do."""
+    """For each level where a run begins that lies in frequent buckets as all its parts do."""
     found: list[np.ndarray] = []
-    for (h, valid), bits in zip(levels, maps, strict=True):
-        at = _bucket(h)
-        ok = valid & (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    for level, (h, valid) in enumerate(levels):
+        ok = valid.copy()
+        for bits, at in zip(maps[level * TABLES :], _buckets(h), strict=False):
+            ok &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
         if found:
             ok &= found[-1][:-1] & found[-1][1:] if len(found[-1]) else False
         found.append(ok)
@@ -358,8 +362,8 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, a`` of every word and phrase that counts, and ``lang, n``, all words of a language."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     counted = stage(_counted(rows), "buckets")
-    maps = _frequent_buckets(counted.where("level >= 0"))
-    totals = stage(counted.where("level < 0").groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    maps = _frequent_buckets(counted.where("table >= 0"))
+    totals = stage(counted.where("table < 0").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     discard(counted)
     candidates = stage(_candidates(rows, maps), "candidates")
     tries = stage(_tries(candidates), "tries")

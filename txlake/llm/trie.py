@@ -17,7 +17,7 @@ MOST_WORDS = DIGITS * DIGITS
 ROOT = 0
 #: Free places are sought in so many windows of this many places, and a window is left for good when less
 #: than one in ``FULL`` of its places is free; after them a node's children go behind all others.
-WINDOW, WINDOWS, FULL = 2048, 6, 8
+WINDOW, WINDOWS, FULL = 2048, 64, 4
 #: Places tried times children, in one go.
 MOST_TRIED = 1 << 15
 
