@@ -61,11 +61,37 @@ def test_stages_take_odd_tables(spark, messy):
         docs = rows
         for name, apply in cp.STAGES:
             docs = stage(apply(spark, docs, SF_DIR), "odd")
-            if name == "near_duplicates":
-                assert docs.where("doc_id IS NOT NULL").count() == docs.select("doc_id").where("doc_id IS NOT NULL").distinct().count()
             if name != "packing":
                 assert docs.columns == odd.columns
 
 
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, Leak string, first_copy int").repartition(3)
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (2, b + " end"), (None, c), (None, c), (3, c), (None, "no id"), (None, "no  ID"), (4, None), (5, "")]
+    kept = cp.one_of_each(spark, frame(spark, rows), "")
+    assert kept.columns == ["doc_id", "text", "Leak", "first_copy"]
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    nameless = [r for r in found if r[0] is None]
+    assert len(nameless) == 1 and nameless[0][1] in ("no id", "no  ID")
+    assert [r for r in found if r[0] is not None] == [(1, a), (1, b), (3, c), (4, None)]
+
+
+def test_leaks_are_decided_by_row(spark):
+    leak = table(spark, SF_DIR, "benchmark").where("length(text) > 100").first().text
+    rows = [(1, "clean text"), (1, f"x {leak}"), (None, leak), (None, "clean too"), (2, None), (None, None)]
+    kept = cp.no_benchmark(spark, frame(spark, rows), SF_DIR)
+    assert kept.columns == ["doc_id", "text", "Leak", "first_copy"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, "clean text"), (None, "clean too"), (2, None), (None, None)], key=repr)
+
+
+def test_secrets_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "password=abcdef12", "B", "s", 3)], "doc_id long, text string, Blob string, spans string, blob_ int")
+    assert tuple(cp.no_secrets(spark, docs, "").first()) == (1, "[assign]", "B", "s", 3)
+
+
 def test_run_gives_the_last_stage(spark):
     assert cp.run(spark, SF_DIR).columns[:4] == ["doc_id", "start", "length", "ids"]

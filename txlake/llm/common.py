@@ -21,6 +21,14 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that a frame doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into short ones, so that Python holds few rows at a time."""
     for batch in batches:

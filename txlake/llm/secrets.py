@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from txlake.llm.common import unused
 from txlake.sources.shared import exists, fresh_path, stage
 
 LEDGER = "blob string, kind string, version int, spans array<struct<start:long,end:long>>"
@@ -136,7 +137,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     other columns stay as they are.
     """
     _, findings = scan(docs, rules=rules)
-    spans = by_blob(findings, rules).withColumnRenamed("spans", "__spans").withColumnRenamed("blob", "__blob")
+    blob, spans_of = (unused(name, docs) for name in ("blob", "spans"))
+    spans = by_blob(findings, rules).withColumnsRenamed({"spans": spans_of, "blob": blob})
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
@@ -149,6 +151,6 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def finish(state: Column) -> Column:
         return F.concat(state["out"], F.substring("text", state["at"] + 1, F.length("text")))
 
-    hidden = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.aggregate("__spans", start, step, finish))
-    keyed = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return keyed.join(spans, "__blob", "left").withColumn("text", hidden).select(docs.columns)
+    hidden = F.when(F.col(spans_of).isNull(), F.col("text")).otherwise(F.aggregate(spans_of, start, step, finish))
+    keyed = docs.withColumn(blob, F.sha2(F.coalesce("text", F.lit("")), 256))
+    return keyed.join(spans, blob, "left").withColumn("text", hidden).select(docs.columns)
