@@ -2,7 +2,7 @@
 
 Three passes over the texts. The first counts all runs of one to four words in two
 tables of hash buckets of a fixed size; a run that occurs often lies in a bucket of
-either that is counted often. The second takes as candidates the runs that lie in such buckets
+either that is counted often (runs are told apart by 64-bit hashes there). The second takes as candidates the runs that lie in such buckets
 themselves and whose parts all do (no frequent run is left out, as its parts occur
 at least as often). The third counts the candidates: they are cut into tries of a
 fixed size, which are broadcast a few at a time, and in each task numpy advances
@@ -36,12 +36,14 @@ SCALE = 2_000_000
 #: Tables of a level, and the buckets of each, in bits; they are written and summed in blocks.
 TABLES, BITS, BLOCK_BITS = 2, 23, 16
 #: Candidates of one trie, and tries broadcast at once.
-TRIE_PHRASES, TRIES = 200_000, 4
+TRIE_PHRASES, TRIES = 200_000, 8
 #: Text of one language that is cut into words at once.
 SEGMENT = 1 << 20
-#: Hashes counted, states counted, and candidates remembered in one go.
+#: Hashes counted, states counted and candidates sent in one go, and hashes of candidates remembered.
 HELD = 1 << 21
-SEEN = 500_000
+SEEN = 1 << 22
+#: Numbers that candidates are dealt by.
+DEALS = 4096
 #: Parts of a language that its first phrases are chosen in.
 SALTS = 32
 
@@ -213,13 +215,18 @@ def _safe(levels: list[tuple[np.ndarray, np.ndarray]], maps: list[np.ndarray]) -
 
 
 def _candidates(rows: DataFrame, maps: list[np.ndarray]) -> DataFrame:
-    """Second pass: ``lang, phrase`` of every candidate and of the words in them, once each."""
+    """Second pass: ``lang, phrase`` of every candidate and of the words in them, once each.
+
+    A task sends a phrase once, as part of a list for each hash of phrases: the lists
+    are dealt by that number, and where they meet each phrase is kept once.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = np.zeros(0, np.uint64)
+        dealt: dict[int, list[str]] = {}
+        n = 0
         for batch in slices(batches):
-            found: list[tuple[str, str]] = []
             for lang, data in by_language(batch).items():
                 for part, _ in segments(data):
                     begins, ends, levels = runs(part, lang)
@@ -229,18 +236,39 @@ def _candidates(rows: DataFrame, maps: list[np.ndarray]) -> DataFrame:
                     in_pair[1:] |= in_pair[:-1].copy() if len(in_pair) else False
                     safe[0] = in_pair
                     for k, ((h, _), ok) in enumerate(zip(levels, safe, strict=True)):
-                        hashes, first = np.unique(h[ok], return_index=True)
-                        where = np.flatnonzero(ok)[first]
-                        for x, i in zip(hashes.tolist(), where.tolist(), strict=True):
-                            if (x := x * MOST_WORDS + k) not in seen:
-                                seen.add(x)
-                                found.append((lang, b" ".join(part[begins[i] : ends[i + k]].split()).decode()))
+                        hashes, first = np.unique(h[ok] + np.uint64(k), return_index=True)
+                        at = np.searchsorted(seen, hashes)
+                        new = np.flatnonzero(np.append(seen, 0)[at] != hashes) if len(seen) else np.arange(len(hashes))
+                        where = np.flatnonzero(ok)[first[new]]
+                        for i, deal in zip(where.tolist(), (hashes[new] >> np.uint64(32)).astype(np.int64).tolist(), strict=True):
+                            phrase = b" ".join(part[begins[i] : ends[i + k]].split()).decode()
+                            dealt.setdefault(deal % DEALS, []).append(f"{lang}\n{phrase}")
+                        n += len(new)
+                        seen = np.sort(np.concatenate([seen, hashes[new]]))
             if len(seen) > SEEN:
-                seen.clear()
-            langs, phrases = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string())], names=["lang", "phrase"])
-
-    return rows.mapInArrow(run, "lang string, phrase string").distinct()
+                seen = np.zeros(0, np.uint64)
+            if n > HELD:
+                yield lists(dealt)
+                dealt, n = {}, 0
+        yield lists(dealt)
+
+    def lists(dealt: dict[int, list[str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(dealt.keys(), pa.int32()), pa.array(dealt.values(), pa.list_(pa.string()))], names=["deal", "phrases"]
+        )
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[int, set[str]] = {}
+        for batch in batches:
+            for deal, phrases in zip(batch.column("deal").to_pylist(), batch.column("phrases"), strict=True):
+                met.setdefault(deal, set()).update(phrases.as_py())
+        for phrases in met.values():
+            split = [p.rsplit("\n", 1) for p in sorted(phrases)]
+            langs, said = zip(*split, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(said, pa.string())], names=["lang", "phrase"])
+
+    lists_of_tasks = rows.mapInArrow(run, "deal int, phrases array<string>")
+    return lists_of_tasks.repartition("deal").mapInArrow(once, "lang string, phrase string")
 
 
 _TRIE = "trie string, langs array<string>, phrase_lang array<int>, phrases array<string>, vocabulary binary, base binary, check binary, ends binary"
@@ -287,38 +315,58 @@ def _tries(candidates: DataFrame) -> DataFrame:
     return dealt.groupBy("grp").applyInArrow(run, _TRIE)
 
 
+class Vocabulary:
+    """The words of several tries in a task, each looked up once for all of them."""
+
+    def __init__(self, rows: list[dict]):
+        self.words: dict[str, dict[bytes, int]] = {}
+        n, held = 0, []
+        for row in rows:
+            numbers = []
+            for entry in row["vocabulary"].split(b"\n"):
+                lang, _, word = entry.partition(b" ")
+                known = self.words.setdefault(row["langs"][int(lang)], {})
+                if word not in known:
+                    known[word], n = n, n + 1
+                numbers.append(known[word])
+            held.append(numbers)
+        self.counters = []
+        for row, numbers in zip(rows, held, strict=True):
+            own = np.full(n + 1, -1, np.int32)  # the last one is for words that no trie holds
+            own[numbers] = np.arange(len(numbers))
+            self.counters.append(Counter(row, own))
+
+    def add(self, lang: str, tokens: list[bytes], first: int) -> None:
+        """Count what begins at the first so many positions."""
+        known = self.words.get(lang)
+        if known:
+            ids = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
+            for c in self.counters:
+                c.add(c.own[ids], first)
+
+
 class Counter:
-    """One broadcast trie in a task: its words by language, and how often each state was met."""
-
-    def __init__(self, row: dict):
-        self.name = row["trie"]
-        read = [np.frombuffer(row[c], np.int32) for c in ("base", "check", "ends")]
-        self.trie = trie.Trie(*read)
-        self.words: dict[str, dict[bytes, int]] = {x: {} for x in row["langs"]}
-        for i, entry in enumerate(row["vocabulary"].split(b"\n")):
-            lang, _, word = entry.partition(b" ")
-            self.words[row["langs"][int(lang)]][word] = i
+    """One trie in a task, and how often each of its states was met."""
+
+    def __init__(self, row: dict, own: np.ndarray):
+        self.name, self.own = row["trie"], own
+        self.trie = trie.Trie(*[np.frombuffer(row[c], np.int32) for c in ("base", "check", "ends")])
         self.met = np.zeros(len(self.trie.base), np.int64)
         self.waiting: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, lang: str, tokens: list[bytes], own: int) -> None:
-        """Advance the states of the first ``own`` positions together, a word at each level."""
-        known = self.words.get(lang)
-        if not known:
-            return
-        ids = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
-        at = np.flatnonzero(ids[:own] >= 0)
+    def add(self, ids: np.ndarray, first: int) -> None:
+        """Advance the states of all positions together, a word at each level."""
+        at = np.flatnonzero(ids[:first] >= 0)
         states = np.full(len(at), trie.ROOT, np.int32)
+        ids = np.append(ids, np.int32(-1))
         for _ in range(MOST_WORDS):
-            inside = np.flatnonzero(at < len(ids))
-            at, states = at[inside], states[inside]
-            inside = np.flatnonzero(ids[at] >= 0)
-            at, states = at[inside], states[inside]
-            if not len(at):
+            words = ids[at]
+            inside = np.flatnonzero(words >= 0)
+            if not len(inside):
                 break
-            on, states = self.trie.step(states, ids[at])
-            at = at[on] + 1
+            on, states = self.trie.step(states[inside], words[inside])
+            at = at[inside[on]] + 1
             self.waiting.append(states)
             self.n += len(states)
         if self.n > HELD:
@@ -342,14 +390,13 @@ def _shard_counts(rows: DataFrame, shards: list[dict]) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = [Counter(row) for row in sent.value]
+        words = Vocabulary(sent.value)
         for batch in slices(batches):
             for lang, data in by_language(batch).items():
                 for part, tail in segments(data):
                     tokens = part.replace(b"\n", b" " + _BREAK + b" ").split()
-                    for c in counters:
-                        c.add(lang, tokens, len(tokens) - tail)
-        for c in counters:
+                    words.add(lang, tokens, len(tokens) - tail)
+        for c in words.counters:
             yield c.found()
 
     summed = rows.mapInArrow(run, "trie string, nth int, n long").groupBy("trie", "nth").agg(F.sum("n").alias("n"))
