@@ -89,7 +89,7 @@ def test_a_crash_between_index_and_data(spark, folder, monkeypatch, lost):
     if lost == "before the data":
         assert contents(spark, path) == [("a", 1, 100.0), ("b", 2, 100.0)]
         # the key is still found in its old place, although the index also names the new one
-        keys.compact(spark, path, PARTITION, KEY)
+        keys.compact(tables.FolderTable(spark, path, PARTITION), KEY)
         assert pairs(spark, path) == [("a", 1), ("b", 2), ("c", 4)]
     keys.upsert_indexed(spark, silver_rows(spark, at(6, "b", 9.0)), path)
     after = [("a", 1, 100.0), ("b", 6, 9.0)] + ([] if lost == "before the data" else [("c", 4, 100.0)])
@@ -107,11 +107,11 @@ def test_compaction_drops_what_keys_have_left_behind(spark, folder, monkeypatch)
     keys.upsert_indexed(spark, silver_rows(spark, at(4, "a", 4.0)), path)
     assert pairs(spark, path) == [("a", 4), ("z", 9)]
     assert contents(spark, path) == [("a", 4, 4.0), ("z", 9, 100.0)]
-    assert keys.repeats(spark, path, PARTITION, KEY) == 0
+    assert keys.repeats(tables.FolderTable(spark, path, PARTITION), KEY) == 0
     spark.read.parquet(path).where("transaction_id = 'a'").selectExpr("* except (event_date)", "date'2026-06-09' as event_date").write.mode("append").partitionBy(PARTITION).parquet(path)
     shared.delete(spark, tables.index_root(path))
-    keys.build_index(spark, path, PARTITION, KEY)
-    assert keys.repeats(spark, path, PARTITION, KEY) == 1
+    keys.build_index(tables.FolderTable(spark, path, PARTITION), KEY)
+    assert keys.repeats(tables.FolderTable(spark, path, PARTITION), KEY) == 1
 
 
 def test_an_empty_batch_and_null_keys(spark, folder):

@@ -60,7 +60,7 @@ def refresh_profile(spark: SparkSession, layout: Layout, run_id: str, quarantine
     days, notes = _due(spark, layout, QUALITY)
     path = _state_path(layout, QUALITY)
     _refresh(spark, layout, path, lambda rows: states.quality_state(rows, partition), days)
-    more = keys.repeats(spark, layout.silver, partition, KEY)
+    more = keys.repeats(tables.FolderTable(spark, layout.silver, partition), KEY)
     profile = shared.stage(states.merged_profile(spark.read.parquet(path), more, quarantined, run_id), "profile")
     tables.forget_changes(spark, notes)
     return profile

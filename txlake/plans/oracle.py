@@ -772,6 +772,12 @@ ORACLE: dict[str, str] = {
     ),
     "upsert_moved_day": _AFTER_MOVES,
     "upsert_indexed": _AFTER_MOVES,
+    "upsert_versioned": _AFTER_MOVES,
+    "version_rows": _with(
+        _MOVED_SILVER,
+        f"SELECT 'version 1' AS table_name, count(*) AS n_rows, {_money_sum()} AS volume_pln FROM target"
+        f" UNION ALL SELECT 'version 2', count(*), {_money_sum()} FROM silver",
+    ),
     "report_roundtrip": _with(_PROFILES, "SELECT * FROM profiles WHERE run_id = 'silver'"),
     "pipeline_gate": _with(
         _PROFILES,

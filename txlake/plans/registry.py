@@ -34,6 +34,7 @@ from txlake.plans.lake import Lake
 from txlake.schemas import payload_schema
 from txlake.sources import keys, reports, shared, snapshot, tables
 from txlake.sources.fx import fx_rates
+from txlake.sources.versioned import VersionedTable
 from txlake.streaming.bronze_stream import read_file_stream, run_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,11 +431,31 @@ def upsert_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.fresh_path(spark, "indexed")
     tables.upsert_silver(spark, first, path, unit="year")
     keys.upsert_indexed(spark, moved, path, unit="year")
-    keys.compact(spark, path, tables.UNITS["year"], "transaction_id")
+    keys.compact(tables.FolderTable(spark, path, tables.UNITS["year"]), "transaction_id")
     keys.upsert_indexed(spark, moved, path, unit="year")
     return _shown_silver(tables.read_silver(spark, path))
 
 
+def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a versioned table, read after old versions are gone."""
+    path = shared.fresh_path(spark, "versioned")
+    first, moved = _moving_batches(spark, sf_dir)
+    for batch in (first, moved, moved):
+        keys.upsert_indexed(spark, batch, path, unit="year", versioned=True)
+    table = VersionedTable(spark, path, tables.UNITS["year"])
+    table.vacuum()
+    return _shown_silver(table.read())
+
+
+def version_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and money of each version that the two batches leave."""
+    path = shared.fresh_path(spark, "versions")
+    for batch in _moving_batches(spark, sf_dir):
+        keys.upsert_indexed(spark, batch, path, unit="year", versioned=True)
+    table = VersionedTable(spark, path, tables.UNITS["year"])
+    return reduce(DataFrame.unionByName, [_volume(table.read(version=n), f"version {n}") for n in table.versions()])
+
+
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality metrics as a later job reads them back from the stored report."""
     root = shared.fresh_path(spark, "reports")
@@ -580,6 +601,8 @@ def all_queries() -> dict[str, Query]:
         "quarantine_append": quarantine_append,
         "upsert_moved_day": upsert_moved_day,
         "upsert_indexed": upsert_indexed,
+        "upsert_versioned": upsert_versioned,
+        "version_rows": version_rows,
         "report_roundtrip": report_roundtrip,
         "pipeline_gate": pipeline_gate,
         "table_fingerprint": table_fingerprint,

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.sources import shared, tables
+from txlake.sources.tables import FolderTable
+from txlake.sources.versioned import VersionedTable
 
 BUCKETS = 64
 #: Batches that a bucket may gather before the index is compacted.
@@ -35,12 +37,12 @@ def _write(pairs: DataFrame, key: str, folder: str, buckets: int) -> None:
     rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(folder)
 
 
-def build_index(spark: SparkSession, path: str, partition: str, key: str, buckets: int = BUCKETS) -> None:
+def build_index(table: FolderTable | VersionedTable, key: str, buckets: int = BUCKETS) -> None:
     """The index from one scan of the table's keys; it is moved in whole."""
-    index = _index_path(path, buckets)
+    spark, index = table.spark, _index_path(table.path, buckets)
     staged = f"{index}.__staged"
     shared.delete(spark, staged)
-    _write(spark.read.parquet(path).select(key, partition), key, staged, buckets)
+    _write(table.read().select(key, table.partition), key, staged, buckets)
     shared.delete(spark, index)
     shared.rename(spark, staged, index)
 
@@ -58,36 +60,36 @@ def lookup(spark: SparkSession, path: str, batch: DataFrame, partition: str, key
     return pairs.join(batch.select(key), key, "left_semi").select(key, partition).distinct()
 
 
-def _repeated(spark: SparkSession, path: str, partition: str, key: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+def _repeated(table: FolderTable | VersionedTable, key: str, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of the index, and those of keys with several pairs that the table holds.
 
     The latter are looked up in the partitions that such pairs name, and staged.
     """
-    pairs = spark.read.parquet(_index_path(path, buckets)).select(key, partition).distinct()
+    both = [key, table.partition]
+    pairs = table.spark.read.parquet(_index_path(table.path, buckets)).select(both).distinct()
     several = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
     doubtful = shared.stage(pairs.join(several, key, "left_semi"), "doubtful")
-    days = [r[0] for r in doubtful.select(partition).distinct().collect()]
-    rows = tables.read_partitions(spark, path, partition, days).select(key, partition)
-    true = shared.stage(rows.join(doubtful, [key, partition], "left_semi").distinct(), "true")
+    days = [r[0] for r in doubtful.select(table.partition).distinct().collect()]
+    true = shared.stage(table.read(days).select(both).join(doubtful, both, "left_semi").distinct(), "true")
     single = pairs.join(doubtful.select(key).distinct(), key, "left_anti")
     return single, true
 
 
-def compact(spark: SparkSession, path: str, partition: str, key: str, buckets: int = BUCKETS) -> None:
+def compact(table: FolderTable | VersionedTable, key: str, buckets: int = BUCKETS) -> None:
     """Rewrite the index without the pairs that the table doesn't hold; only keys with several can have one."""
-    index = _index_path(path, buckets)
+    spark, index = table.spark, _index_path(table.path, buckets)
     staged = f"{index}.__staged"
     shared.delete(spark, staged)
-    single, true = _repeated(spark, path, partition, key, buckets)
+    single, true = _repeated(table, key, buckets)
     _write(single.unionByName(true), key, staged, buckets)
     shared.delete(spark, index)
     shared.rename(spark, staged, index)
     shared.discard(true)
 
 
-def repeats(spark: SparkSession, path: str, partition: str, key: str, buckets: int = BUCKETS) -> int:
+def repeats(table: FolderTable | VersionedTable, key: str, buckets: int = BUCKETS) -> int:
     """By how much the partitions' numbers of distinct keys exceed the table's: keys that lie in several of them."""
-    _, true = _repeated(spark, path, partition, key, buckets)
+    _, true = _repeated(table, key, buckets)
     found = true.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
     shared.discard(true)
     return int(found)
@@ -107,37 +109,40 @@ def upsert_indexed(
     key: str = "transaction_id",
     unit: str = "day",
     buckets: int = BUCKETS,
+    versioned: bool = False,
 ) -> list[date]:
     """``tables.upsert_silver`` whose cost follows the batch; gives the partitions it touched.
 
     The index names the partitions that may hold an older copy of a key, their key
     column says which do, and only those and the batch's own are read whole and
     rewritten. ``valid`` must hold each key once; null keys replace nothing.
+    ``versioned`` publishes by a pointer, so that no reader sees a half-done upsert.
     """
     partition = tables.UNITS[unit]
+    table = (VersionedTable if versioned else FolderTable)(spark, path, partition)
     valid = tables.placed(valid, unit)
-    tables.publish_pending(spark, path)
+    table.settle()
     batch = shared.stage(valid, "batch")
     try:
         schema = batch.schema
-        filled = shared.holds_data(spark, path)
+        filled = table.filled()
         if filled and not shared.holds_data(spark, _index_path(path, buckets)):
-            build_index(spark, path, partition, key, buckets)
+            build_index(table, key, buckets)
         days = {r[0] for r in batch.select(partition).distinct().collect()}
         known = shared.stage(lookup(spark, path, batch, partition, key, buckets), "known")
         may_hold = [r[0] for r in known.select(partition).distinct().collect()]
         if filled and may_hold:
-            looked_into = tables.read_partitions(spark, path, partition, may_hold, schema).select(key, partition)
+            looked_into = table.read(may_hold, schema).select(key, partition)
             held = looked_into.join(batch.select(key), key, "left_semi").select(partition).distinct()
             days |= {r[0] for r in held.collect()}
         new = batch.select(key, partition).join(known, [key, partition], "left_anti")
         _write(new, key, _index_path(path, buckets), buckets)
         shared.discard(known)
         if days:
-            target = tables.read_partitions(spark, path, partition, sorted(days), schema)
-            tables.replace_partitions(spark, tables.merged_rows(target, batch, key), path, partition, sorted(days))
+            target = table.read(sorted(days), schema)
+            table.replace(tables.merged_rows(target, batch, key), sorted(days))
         if _gathered(spark, path, buckets) > COMPACT_AFTER:
-            compact(spark, path, partition, key, buckets)
+            compact(table, key, buckets)
         return sorted(days)
     finally:
         shared.discard(batch)

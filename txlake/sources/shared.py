@@ -110,3 +110,33 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(where))
 
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver."""
+    fs, where = _handle(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written by the driver over an older one."""
+    fs, where = _handle(spark, path)
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file over another one in a single step."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    src, dst = hadoop.Path(source), hadoop.Path(target)
+    rename = hadoop.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    configuration = spark._jsc.hadoopConfiguration()
+    hadoop.FileContext.getFileContext(src.getFileSystem(configuration).getUri(), configuration).rename(src, dst, options)

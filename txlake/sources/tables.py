@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
@@ -250,6 +251,29 @@ def publish_pending(spark: SparkSession, path: str) -> bool:
     return True
 
 
+@dataclass(frozen=True)
+class FolderTable:
+    """A partitioned table as this module writes it, in the form that ``keys`` works on."""
+
+    spark: SparkSession
+    path: str
+    partition: str
+
+    def filled(self) -> bool:
+        return shared.holds_data(self.spark, self.path)
+
+    def settle(self) -> None:
+        publish_pending(self.spark, self.path)
+
+    def read(self, days: Sequence[date] | None = None, schema: StructType | None = None) -> DataFrame:
+        if days is None:
+            return self.spark.read.parquet(self.path)
+        return read_partitions(self.spark, self.path, self.partition, days, schema)
+
+    def replace(self, rows: DataFrame, days: Sequence[date]) -> None:
+        replace_partitions(self.spark, rows, self.path, self.partition, days)
+
+
 def append_quarantine(rejected: DataFrame, path: str, seen_keys: Sequence[str] = ()) -> bool:
     """Append rejects; nothing is written when there are none.
 
