@@ -28,6 +28,14 @@ def text_of(page, site=None):
         ("<p>unclosed <a href=x>link</a>, <span class=ad>ad</span>rest", "unclosed link, rest"),
         ("<article>one</article><div>mid</div><article>two</article>", "one two"),
         ("<script>never closed <p>x</p>", ""),
+        ("<body class='has-sidebar'><article>in</article></body>", "in"),
+        ("<div id='page' class='no-sidebar menu-open'><nav>m</nav><main>in</main></div>", "in"),
+        ("<form><p>out</p><article>in <div class='share-buttons'>s</div></article><input></form>", "in"),
+        ("<div class='widget'><p>out</p><div class=main><p class=search>in</p></div></div>", "in"),
+        ("<div class='sidebar'><article>teaser</article></div><article>in</article>", "in"),
+        ("<aside><article>teaser</article></aside><p>text</p>", "text"),
+        ("<article><p class='search related'>in</p><div class='related-posts'>out</div></article>", "in"),
+        ("<body class='menu'><div class='is-popup'><p>text</p></div></body>", "text"),
     ],
 )
 def test_blocks_of_one_page(page, expected):

@@ -60,16 +60,29 @@ NOISE_WORDS = frozenset(
     "related search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN_TAGS = frozenset({"article", "main"})
+#: Noise that an article inside it doesn't end; forms and classes may be a page's wrapper.
+FIRM_NOISE = NOISE_TAGS - {"form"}
+#: Tags that no class makes noise: the page as a whole, and a single block of text.
+PLAIN_TAGS = frozenset("html body article main p h1 h2 h3 h4 h5 h6 pre blockquote td th".split())
+#: First and last parts of names that tell of a page's state and not of an element's purpose.
+STATE_FIRST = frozenset("has no not with without is".split())
+STATE_LAST = frozenset("open opened closed active inactive hidden visible enabled disabled".split())
 
 
 @dataclass
 class Node:
-    """An element of one page; ``parts`` are its children and the numbers of its own blocks, in order."""
+    """An element of one page; ``parts`` are its children and the numbers of its own blocks, in order.
+
+    ``noise`` is its own or inherited; ``firm`` is noise that nothing inside ends, and
+    ``freed`` is noise where an article inside a wrapper that looks like noise ends it.
+    """
 
     key: int
     label: str
     noise: bool
     main: bool
+    firm: bool = False
+    freed: bool = False
     parts: list[Node | int] = field(default_factory=list)
 
 
@@ -106,7 +119,7 @@ def parse(page: str) -> tuple[Node, list[str]]:
         if not m["tag"]:
             continue
         tag = m["tag"].lower()
-        if tag in INLINE and (tag not in tags if m["close"] else not _is_noise(tag, _words(m["attrs"]))):
+        if tag in INLINE and (tag not in tags if m["close"] else not _is_noise(tag, m["attrs"])):
             continue  # part of the line, unless its class makes it noise
         if m["close"]:
             if tag in tags:
@@ -127,24 +140,48 @@ def parse(page: str) -> tuple[Node, list[str]]:
         label = f"{tag}.{'.'.join(words)}"
         up = stack[-1]
         inside = up.main or tag in MAIN_TAGS or "main" in words and tag not in NOISE_TAGS
-        noise = up.noise or _is_noise(tag, words) or tag == "header" and not up.main
-        node = Node(_hash(f"{up.key}/{label}"), label, noise, inside)
+        own = _is_noise(tag, m["attrs"]) or tag == "header" and not up.main
+        firm = up.firm or tag in FIRM_NOISE or tag == "header" and not up.main
+        freed = firm or own or up.freed and not (inside and not up.main)
+        node = Node(_hash(f"{up.key}/{label}"), label, up.noise or own, inside, firm, freed)
         up.parts.append(node)
         if not m["attrs"].endswith("/") or tag in HOLDS:
             stack.append(node)
             tags.append(tag)
     end_block()
+    _free_articles(root)
     return root, blocks
 
 
-def _words(attrs: str) -> list[str]:
+def _free_articles(root: Node) -> None:
+    """Where all of a page's articles lie inside wrappers that look like noise, the articles aren't noise."""
+    every = [root]
+    for node in every:
+        every += [p for p in node.parts if isinstance(p, Node)]
+    main = [n for n in every if n.main and n.parts]
+    if main and all(n.noise for n in main):
+        for node in every:
+            node.noise = node.freed
+
+
+def _names(attrs: str) -> list[str]:
+    """Whole names in class, id and role."""
     if not attrs or "=" not in attrs:
         return []
-    return [w for m in _NAMES.finditer(attrs) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w]
+    return [name for m in _NAMES.finditer(attrs) for name in (m[1] or m[2] or m[3] or "").lower().split()]
+
+
+def _words(attrs: str) -> list[str]:
+    return [w for name in _names(attrs) for w in _SPLIT.split(name) if w]
+
+
+def _names_noise(name: str) -> bool:
+    parts = [w for w in _SPLIT.split(name) if w]
+    return bool(parts) and not NOISE_WORDS.isdisjoint(parts) and parts[0] not in STATE_FIRST and parts[-1] not in STATE_LAST
 
 
-def _is_noise(tag: str, words: list[str]) -> bool:
-    return tag in NOISE_TAGS or not NOISE_WORDS.isdisjoint(words)
+def _is_noise(tag: str, attrs: str) -> bool:
+    return tag in NOISE_TAGS or tag not in PLAIN_TAGS and any(map(_names_noise, _names(attrs)))
 
 
 def facts(root: Node, blocks: list[str]) -> set[tuple[int, bool, int]]:
@@ -186,11 +223,12 @@ def main_text(root: Node, blocks: list[str], site: dict[int, tuple[float, float]
     kept, gone, open_text = [], set(), []
     noisy = {id(root)} if root.noise else set()
     for node, up in order:
-        if node.noise or up is not None and id(up) in noisy:
+        apart = up is None or node.main and not node.noise and not up.main  # an article stands or falls by itself
+        if node.noise or not apart and id(up) in noisy:
             noisy.add(id(node))
         else:
             open_text += [p for p in node.parts if isinstance(p, int)]
-        if low[id(node)] or up is not None and id(up) in gone:
+        if low[id(node)] or not apart and id(up) in gone:
             gone.add(id(node))
         elif node.main or not has_main:
             kept += [p for p in node.parts if isinstance(p, int) and (node.main or site.get(node.key, (1.0, 1.0))[1] >= LEAST_IMPORTANCE)]
