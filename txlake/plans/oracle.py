@@ -850,4 +850,6 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "category_kpi_merged": ORACLE["merchant_category_kpi"],
     "quality_profile_merged": ORACLE["quality_profile"],
+    "deciles_two_pass": ORACLE["deciles"],
+    "psi_two_pass": ORACLE["psi"],
 }

@@ -26,7 +26,7 @@ from txlake.functions.clock import utc_wall_clock
 from txlake.functions.rules import standard_rules
 from txlake.functions.signals import psi_band
 from txlake.functions.wire import with_wire_errors
-from txlake.operators import drift, evaluation, gold, ordered, quality, scoring, silver, states, training
+from txlake.operators import drift, evaluation, gold, ordered, quality, ranks, scoring, silver, states, training
 from txlake.operators.bronze import build_bronze_frame, encode_wire, ingest_run_stats
 from txlake.plans import incremental, jobs, serving
 from txlake.plans.fixtures import ev_envelope
@@ -328,6 +328,16 @@ def deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.deciles(Lake(spark, sf_dir).scored(), DRIFT_FEATURES)
 
 
+def deciles_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranks.deciles(Lake(spark, sf_dir).scored(), DRIFT_FEATURES)
+
+
+def psi_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference, live = _sides(spark, sf_dir)
+    found = ranks.population_stability_index(reference, _shifted(live), ["amount_pln"])
+    return found.select("feature", F.round("psi", 6).alias("psi"))
+
+
 # --- model ------------------------------------------------------------------- #
 
 
@@ -593,6 +603,8 @@ def all_queries() -> dict[str, Query]:
         "retrain_decision": retrain_decision,
         "empirical_cdf": empirical_cdf,
         "deciles": deciles,
+        "deciles_two_pass": deciles_two_pass,
+        "psi_two_pass": psi_two_pass,
         "roc_auc": roc_auc,
         "average_precision": average_precision,
         "stratified_split": stratified_split,
