@@ -42,8 +42,9 @@ SEGMENT = 1 << 20
 #: Hashes counted, states counted and candidates sent in one go, and hashes of candidates remembered.
 HELD = 1 << 21
 SEEN = 1 << 22
-#: Numbers that candidates are dealt by.
+#: Numbers that candidates are dealt by, and phrases whose counts are sent and summed as one block.
 DEALS = 4096
+COUNTS = 4096
 #: Parts of a language that its first phrases are chosen in.
 SALTS = 32
 
@@ -227,6 +228,7 @@ def _candidates(rows: DataFrame, maps: list[np.ndarray]) -> DataFrame:
         dealt: dict[int, list[str]] = {}
         n = 0
         for batch in slices(batches):
+            fresh: list[np.ndarray] = []
             for lang, data in by_language(batch).items():
                 for part, _ in segments(data):
                     begins, ends, levels = runs(part, lang)
@@ -244,7 +246,8 @@ def _candidates(rows: DataFrame, maps: list[np.ndarray]) -> DataFrame:
                             phrase = b" ".join(part[begins[i] : ends[i + k]].split()).decode()
                             dealt.setdefault(deal % DEALS, []).append(f"{lang}\n{phrase}")
                         n += len(new)
-                        seen = np.sort(np.concatenate([seen, hashes[new]]))
+                        fresh.append(hashes[new])
+            seen = np.sort(np.concatenate([seen, *fresh]))
             if len(seen) > SEEN:
                 seen = np.zeros(0, np.uint64)
             if n > HELD:
@@ -378,15 +381,17 @@ class Counter:
         self.waiting, self.n = [], 0
 
     def found(self) -> pa.RecordBatch:
+        """The phrases' counts in compressed blocks."""
         self.settle()
-        n = self.met[self.trie.ends]
-        held = np.flatnonzero(n)
-        columns = [pa.array([self.name] * len(held), pa.string()), pa.array(held.astype(np.int32)), pa.array(n[held])]
-        return pa.RecordBatch.from_arrays(columns, names=["trie", "nth", "n"])
+        counts = self.met[self.trie.ends]
+        blocks = [counts[i : i + COUNTS] for i in range(0, len(counts), COUNTS)]
+        packed = [pa.compress(b.tobytes(), codec="zstd", asbytes=True) for b in blocks]
+        columns = [pa.array([self.name] * len(blocks), pa.string()), pa.array(range(len(blocks)), pa.int32()), pa.array([len(b) for b in blocks], pa.int32()), pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["trie", "block", "size", "counts"])
 
 
 def _shard_counts(rows: DataFrame, shards: list[dict]) -> DataFrame:
-    """Third pass for some tries: ``trie, nth, n``, the occurrences of each trie's nth phrase."""
+    """Third pass for some tries: ``trie, nth, n``, the occurrences of each trie's nth phrase that reach ``LEAST_COUNT``."""
     sent = rows.sparkSession.sparkContext.broadcast(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,8 +404,19 @@ def _shard_counts(rows: DataFrame, shards: list[dict]) -> DataFrame:
         for c in words.counters:
             yield c.found()
 
-    summed = rows.mapInArrow(run, "trie string, nth int, n long").groupBy("trie", "nth").agg(F.sum("n").alias("n"))
-    summed = stage(summed, "trie-counts")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        for batch in slices(batches):
+            for name, block, size, packed in zip(*(batch.column(c).to_pylist() for c in ("trie", "block", "size", "counts")), strict=True):
+                part = np.frombuffer(pa.decompress(packed, 8 * size, codec="zstd"), np.int64)
+                sums[name, block] = sums[name, block] + part if (name, block) in sums else part
+        for (name, block), n in sums.items():
+            often = np.flatnonzero(n >= LEAST_COUNT)
+            columns = [pa.array([name] * len(often), pa.string()), pa.array((block * COUNTS + often).astype(np.int32)), pa.array(n[often])]
+            yield pa.RecordBatch.from_arrays(columns, names=["trie", "nth", "n"])
+
+    dealt = rows.mapInArrow(run, "trie string, block int, size int, counts binary").repartition("trie", "block")
+    summed = stage(dealt.mapInArrow(add, "trie string, nth int, n long"), "trie-counts")
     sent.destroy()
     return summed
 
@@ -427,7 +443,7 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for part in parts[1:]:
         counts = counts.unionByName(part)
     words = F.size(F.split("phrase", " "))
-    found = named.join(counts.where(F.col("n") >= LEAST_COUNT), ["trie", "nth"]).select("lang", "phrase", words.alias("words"), F.col("n").alias("a"))
+    found = named.join(counts, ["trie", "nth"]).select("lang", "phrase", words.alias("words"), F.col("n").alias("a"))
     return stage(found, "phrases"), totals
 
 
