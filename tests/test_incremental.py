@@ -12,7 +12,7 @@ from tests.build import silver_rows, tx
 from tests.test_jobs import AS_OF, store_bronze
 from tests.test_keys import spoil
 from txlake.constants import GOLD_TABLES
-from txlake.operators import gold, quality, scoring, states
+from txlake.operators import drift, gold, quality, scoring, states
 from txlake.plans import incremental, jobs
 from txlake.sources import keys, reports, shared, tables
 
@@ -151,3 +151,23 @@ def test_silver_job_with_index_equals_the_plain_one(spark, folder):
     a, b = (sorted(map(repr, tables.read_silver(spark, x.silver).collect())) for x in (plain, indexed))
     assert a == b and len(a) == 2
     assert AS_OF == date(2026, 6, 14)
+
+
+def test_drift_from_histograms_equals_the_whole_tables(spark, folder):
+    drawn = random.Random(9)
+    layout = jobs.Layout(folder)
+    names = [f"t{i}" for i in range(60)]
+    for part in (names[:40], names[20:]):  # some rows move to another day
+        keys.upsert_indexed(spark, shared.stage(silver_rows(spark, *rows(drawn, part)), "batch"), layout.silver)
+        incremental.run_gold(spark, layout)
+    scored = spark.read.parquet(f"{layout.gold}/scored_transactions")
+    cut = date(2026, 6, 4)
+    for since in (None, cut):
+        live = scored if since is None else scored.where(F.col("event_date") >= F.lit(since))
+        reference = scored.where(F.col("event_date") < F.lit(cut))
+        whole = sorted(map(tuple, drift.drift_report(reference, live, run_id="r").collect()))
+        stored = incremental.live_values(spark, layout, before=cut)
+        assert sorted(map(tuple, incremental.write_drift(spark, layout, "r", since, stored).collect())) == whole
+    assert {r.psi for r in incremental.write_drift(spark, layout, "none").collect()} == {0.0}  # the heuristic has no reference
+    spoil(f"{layout.root}/state/values", 1)  # a window reads only its own days
+    assert incremental.live_values(spark, layout, since=cut).count() > 0

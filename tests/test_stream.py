@@ -64,3 +64,13 @@ def test_draining_triggers(name):
 
 def test_interval_trigger():
     assert S.apply_trigger(Writer(), "10 seconds") == {"processingTime": "10 seconds"}
+
+
+def test_progress_tells_the_rows_of_each_batch(spark, folder):
+    for names in (["a", "b"], ["c"], ["d", "e", "f"]):
+        drop_file(spark, f"{folder}/in", names)
+    source = S.read_file_stream(spark, f"{folder}/in", max_files_per_trigger=1)
+    query = S.run_bronze(source, f"{folder}/bronze", f"{folder}/checkpoint")
+    assert S.batch_sizes(query) == [(0, 2), (1, 1), (2, 3)]
+    again = S.run_bronze(S.read_file_stream(spark, f"{folder}/in"), f"{folder}/bronze", f"{folder}/checkpoint")
+    assert S.batch_sizes(again) == []

@@ -21,7 +21,7 @@ from txlake.operators.ordered import running_totals, unpivoted, value_at_rank
 
 
 def reference_cells(reference: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, value, n`` rows of a wide frame, or of a model's own long table (``n`` may lack: 1)."""
+    """``feature, value, n`` rows of a wide frame, or of a long table such as a model's own (``n`` may lack: 1)."""
     if {"feature", "value"} <= set(reference.columns):
         weight = F.col("n") if "n" in reference.columns else F.lit(1)
         kept = reference.filter(F.col("feature").isin(list(features)))
@@ -33,12 +33,12 @@ def _both_sides(
     reference: DataFrame, live: DataFrame, features: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    if by:
-        expected = unpivoted(reference, features, *by).withColumn("n", one)
-    else:
-        expected = reference_cells(reference, features)
-    expected = expected.select(*by, "feature", "value", F.col("n").alias("ref"), none.alias("live"))
-    actual = unpivoted(live, features, *by).select(*by, "feature", "value", none.alias("ref"), one.alias("live"))
+
+    def cells(side: DataFrame) -> DataFrame:
+        return unpivoted(side, features, *by).withColumn("n", one) if by else reference_cells(side, features)
+
+    expected = cells(reference).select(*by, "feature", "value", F.col("n").alias("ref"), none.alias("live"))
+    actual = cells(live).select(*by, "feature", "value", none.alias("ref"), F.col("n").alias("live"))
     return expected.unionByName(actual).filter(F.col("value").isNotNull())
 
 
@@ -88,7 +88,8 @@ def feature_drift(
 ) -> DataFrame:
     """``feature, psi, ks, reference_n, live_n`` over all rows of both sides.
 
-    All features go through one set of shuffles. ``runs`` lists the keys (say
+    All features go through one set of shuffles. A side may be a long table of ``feature,
+    value, n``, as a model keeps its reference and ``states`` its histograms. ``runs`` lists the keys (say
     ``run_id``) of several comparisons at once: both sides then are wide frames with
     these columns, and so is the result. An empty side gives PSI and KS of 0; the
     retraining decision treats it as not comparable.

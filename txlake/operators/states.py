@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlake.functions import money
+from txlake.operators.ordered import unpivoted
 
 #: Columns that the quality profile counts nulls of.
 NULL_COUNTED = ("transaction_id", "account_id", "amount", "amount_pln")
@@ -79,3 +82,13 @@ def merged_profile(states: DataFrame, repeats: int, quarantined: int, run_id: st
         "fraud_rate",
         F.lit(quarantined).cast("long").alias("quarantined_count"),
     )
+
+
+def value_state(rows: DataFrame, partition: str, features: Sequence[str]) -> DataFrame:
+    """``partition, feature, value, n``: the histogram of each feature in each partition, one line per distinct value."""
+    return unpivoted(rows, features, partition).groupBy(partition, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_values(states: DataFrame) -> DataFrame:
+    """``feature, value, n`` of some partitions together."""
+    return states.groupBy("feature", "value").agg(F.sum("n").alias("n"))

@@ -12,12 +12,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.constants import FRAUD_THRESHOLD, HORIZON_DAYS, SILVER_COLUMNS
-from txlake.operators import gold, states
+from txlake.constants import DRIFT_FEATURES, FRAUD_THRESHOLD, HORIZON_DAYS, SILVER_COLUMNS
+from txlake.operators import drift, gold, states
 from txlake.operators.scoring import Scorer, add_fraud_scores, load_or_default
 from txlake.plans import jobs
 from txlake.plans.jobs import Layout
-from txlake.sources import keys, shared, tables
+from txlake.sources import keys, reports, shared, tables
 
 KEY = "transaction_id"
 GOLD, QUALITY = "gold", "quality"
@@ -118,7 +118,38 @@ def run_gold(spark: SparkSession, layout: Layout, threshold: float | None = FRAU
     scored = days if same else tables.partition_values(spark, layout.silver, partition)
     path = f"{layout.gold}/scored_transactions"
     _refresh(spark, layout, path, lambda rows: add_fraud_scores(rows.select(*SILVER_COLUMNS), scorer, threshold), scored)
+    values = _state_path(layout, "values")
+
+    def histogram(rows: DataFrame) -> DataFrame:
+        return states.value_state(add_fraud_scores(rows, scorer, threshold), partition, DRIFT_FEATURES)
+
+    _refresh(spark, layout, values, histogram, scored)
     if not same:
         spark.createDataFrame([(used,)], "stamp STRING").coalesce(1).write.mode("overwrite").text(stored)
     tables.forget_changes(spark, notes)
     return days
+
+
+def live_values(spark: SparkSession, layout: Layout, since: date | None = None, before: date | None = None) -> DataFrame:
+    """``feature, value, n`` of the scored rows, from the histograms of partitions from ``since`` on and up to ``before``.
+
+    A window that moves on reads other partitions' histograms, and no rows.
+    """
+    partition, path = tables.UNITS[layout.unit], _state_path(layout, "values")
+    days = tables.partition_values(spark, path, partition)
+    wanted = [d for d in days if (since is None or d >= since) and (before is None or d < before)]
+    stored = tables.read_partitions(spark, path, partition, wanted)
+    return states.merged_values(stored)
+
+
+def write_drift(
+    spark: SparkSession, layout: Layout, run_id: str, since: date | None = None, reference: DataFrame | None = None
+) -> DataFrame:
+    """``jobs.write_drift`` from the stored histograms; ``reference`` takes the place of the model's."""
+    if reference is None:
+        reference = load_or_default(spark, layout.model).reference
+    if reference is None:
+        reference = spark.createDataFrame([], "feature STRING, value DOUBLE")
+    report = drift.drift_report(reference, live_values(spark, layout, since), run_id=run_id)
+    reports.write_report(report, layout.reports, "drift_metrics", run_id)
+    return reports.read_report(spark, layout.reports, "drift_metrics", run_id)

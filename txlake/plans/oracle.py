@@ -850,6 +850,15 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "category_kpi_merged": ORACLE["merchant_category_kpi"],
     "quality_profile_merged": ORACLE["quality_profile"],
+    "damaged_model_score": ORACLE["heuristic_score"],
+    "drift_incremental": _REPORT + " SELECT * FROM report WHERE run_id = 'as_is'",
+    "gbt_expression_score": _with(SILVER, "SELECT transaction_id, TRUE AS equal FROM silver"),
+    "model_reference": _with(
+        SCORED,
+        "SELECT 'fraud_score' AS feature, round(fraud_score, 6) AS value, count(*) AS n FROM scored GROUP BY ALL"
+        " UNION ALL SELECT 'amount_pln', CAST(pln AS DOUBLE), count(*) FROM scored GROUP BY ALL",
+    ),
+    "stream_rate_limit": "SELECT event_id % 3 AS batch, count(*) AS n_rows FROM events GROUP BY batch",
     "deciles_two_pass": ORACLE["deciles"],
     "psi_two_pass": ORACLE["psi"],
 }

@@ -26,7 +26,7 @@ from txlake.functions.clock import utc_wall_clock
 from txlake.functions.rules import standard_rules
 from txlake.functions.signals import psi_band
 from txlake.functions.wire import with_wire_errors
-from txlake.operators import drift, evaluation, gold, ordered, quality, ranks, scoring, silver, states, training
+from txlake.operators import drift, evaluation, gold, ordered, quality, ranks, scoring, silver, states, training, trees
 from txlake.operators.bronze import build_bronze_frame, encode_wire, ingest_run_stats
 from txlake.plans import incremental, jobs, serving
 from txlake.plans.fixtures import ev_envelope
@@ -35,7 +35,7 @@ from txlake.schemas import payload_schema
 from txlake.sources import keys, reports, shared, snapshot, tables
 from txlake.sources.fx import fx_rates
 from txlake.sources.versioned import VersionedTable
-from txlake.streaming.bronze_stream import read_file_stream, run_bronze
+from txlake.streaming.bronze_stream import batch_sizes, read_file_stream, run_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -555,6 +555,54 @@ def job_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def drift_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift report from histograms per year that two upserts brought up to date."""
+    layout = jobs.Layout(shared.fresh_path(spark, "job-drift"), unit="year")
+    rows = Lake(spark, sf_dir).silver()
+    for half in (0, 1):
+        keys.upsert_indexed(spark, rows.where(F.crc32("transaction_id") % 2 == half), layout.silver, unit=layout.unit)
+        incremental.run_gold(spark, layout)
+    reference = incremental.live_values(spark, layout, before=DRIFT_CUT)
+    return incremental.write_drift(spark, layout, "as_is", DRIFT_CUT, reference)
+
+
+def gbt_expression_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether boosted trees as a column expression score every row as their pipeline does."""
+    rows = Lake(spark, sf_dir).silver()
+    model = training.fit_gbt(rows, "is_fraud_label", rounds=10)
+    by_pipeline = scoring.pipeline_scorer(model).score(rows).withColumnRenamed("fraud_score", "expected")
+    both = trees.expression_scorer(model).score(by_pipeline)
+    return both.select("transaction_id", (F.abs(F.col("fraud_score") - F.col("expected")) < 1e-9).alias("equal"))
+
+
+def damaged_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores over a model folder that can't be read: those of the heuristic."""
+    path = shared.fresh_path(spark, "damaged")
+    shared.write_text(spark, f"{path}/metadata/part-0.json", "{no json")
+    scorer = scoring.load_or_default(spark, path)
+    rows = scoring.add_fraud_scores(Lake(spark, sf_dir).silver(), scorer)
+    return rows.select("transaction_id", F.round("fraud_score", 6).alias("fraud_score"), "fraud_flag")
+
+
+def model_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distribution that a model keeps for drift, stored and read back."""
+    path = shared.fresh_path(spark, "reference")
+    scored = Lake(spark, sf_dir).scored()
+    training.reference_distribution(scored, scored).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def stream_rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each micro-batch with one file a batch, from the stream's own progress; a file per message partition."""
+    base = shared.fresh_path(spark, "limited")
+    envelope = ev_envelope(spark, sf_dir)
+    for part in range(3):
+        envelope.where(F.col("partition") == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    limited = read_file_stream(spark, f"{base}/in", max_files_per_trigger=1)
+    query = run_bronze(limited, f"{base}/bronze", f"{base}/checkpoint")
+    return spark.createDataFrame(batch_sizes(query), "batch BIGINT, n_rows BIGINT")
+
+
 def category_kpi_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category table from stored states of a year, category and account each."""
     rows = tables.placed(Lake(spark, sf_dir).silver(), "year")
@@ -624,6 +672,11 @@ def all_queries() -> dict[str, Query]:
         "quality_profile_merged": quality_profile_merged,
         "job_gold_incremental": job_gold_incremental,
         "category_kpi_merged": category_kpi_merged,
+        "drift_incremental": drift_incremental,
+        "gbt_expression_score": gbt_expression_score,
+        "damaged_model_score": damaged_model_score,
+        "model_reference": model_reference,
+        "stream_rate_limit": stream_rate_limit,
     }
     for name in serving.QUERIES:
         named[name] = _served(name)

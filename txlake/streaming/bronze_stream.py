@@ -78,3 +78,9 @@ def run_bronze(
     if trigger in ("availableNow", "available_now", "once"):
         query.awaitTermination()
     return query
+
+
+def batch_sizes(query: StreamingQuery) -> list[tuple[int, int]]:
+    """(batch, rows read) of the batches that read any, as the query's progress tells; it keeps the last hundred."""
+    sizes = {p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"] > 0}
+    return sorted(sizes.items())
