@@ -850,6 +850,7 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "category_kpi_merged": ORACLE["merchant_category_kpi"],
     "quality_profile_merged": ORACLE["quality_profile"],
+    "cluster_interleaved": ORACLE["cluster_rewrite"],
     "damaged_model_score": ORACLE["heuristic_score"],
     "drift_incremental": _REPORT + " SELECT * FROM report WHERE run_id = 'as_is'",
     "gbt_expression_score": _with(SILVER, "SELECT transaction_id, TRUE AS equal FROM silver"),

@@ -32,7 +32,7 @@ from txlake.plans import incremental, jobs, serving
 from txlake.plans.fixtures import ev_envelope
 from txlake.plans.lake import Lake
 from txlake.schemas import payload_schema
-from txlake.sources import keys, reports, shared, snapshot, tables
+from txlake.sources import keys, layout, reports, shared, snapshot, tables
 from txlake.sources.fx import fx_rates
 from txlake.sources.versioned import VersionedTable
 from txlake.streaming.bronze_stream import batch_sizes, read_file_stream, run_bronze
@@ -193,6 +193,10 @@ def cluster_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_silver(tables.clustered(Lake(spark, sf_dir).silver()))
 
 
+def cluster_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown_silver(layout.cluster_interleaved(Lake(spark, sf_dir).silver()))
+
+
 # --- quality ----------------------------------------------------------------- #
 
 
@@ -632,6 +636,7 @@ def all_queries() -> dict[str, Query]:
         "horizon_filter": horizon_filter,
         "upsert_merge": upsert_merge,
         "cluster_rewrite": cluster_rewrite,
+        "cluster_interleaved": cluster_two_keys,
         "quality_profile": quality_profile,
         "quality_checks": quality_checks,
         "expectation_suite": expectation_suite,
