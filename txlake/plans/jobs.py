@@ -67,16 +67,16 @@ def run_silver(
 ) -> DataFrame:
     """Bronze to silver, quarantine and quality report; returns the metrics row.
 
-    The bronze scan, JSON and rules run once: tagged rows are staged by
-    ``is_valid`` and everything after reads its own half of the staging. The
-    upsert writes days already clustered by account. ``upsert`` and ``profile_of``
+    The bronze scan, JSON and rules run once: tagged rows are staged, and
+    everything after filters its own half of them. Folders of ``is_valid`` would
+    cost a sort of all rows. The upsert writes days already clustered by account. ``upsert`` and ``profile_of``
     (from the number of rejects) may take the place of the whole-table forms.
     """
     if bronze is None:
         bronze = tables.read_bronze(spark, layout.bronze, as_of, horizon_days)
     tagged = silver.tagged_silver(bronze, fx_rates(spark))
     staging = shared.fresh_path(spark, "tagged")
-    tagged.write.partitionBy("is_valid").parquet(staging)
+    tagged.write.parquet(staging)
     tagged = spark.read.schema(tagged.schema).parquet(staging)
 
     latest = silver.deduplicate(silver.valid_rows(tagged))
