@@ -56,3 +56,20 @@ def test_other_pipelines_are_refused(spark, rows):
     stages = [VectorAssembler(inputCols=list(FEATURE_NAMES), outputCol="features"), LogisticRegression(maxIter=1)]
     with pytest.raises(ValueError, match="gradient-boosted"):
         trees.expression_scorer(Pipeline(stages=stages).fit(prepared))
+
+
+def test_trees_are_fitted_on_as_many_lines_however_often_rows_repeat(spark, rows):
+    prepared = scoring.with_features(rows)
+    often = prepared.crossJoin(spark.range(5))
+    cuts = training.amount_cuts(prepared)
+    assert 16 <= len(cuts) < training.BINS and cuts == sorted(set(cuts))
+    once, many = (training.feature_counts(df, cuts, "is_fraud_label") for df in (prepared, often))
+    assert once.count() == many.count() < 400
+    assert (once.agg(F.sum("n")).first()[0], many.agg(F.sum("n")).first()[0]) == (400, 2000)
+
+
+def test_few_amounts_have_a_bin_each(spark, rows):
+    prepared = scoring.with_features(rows).withColumn(training.AMOUNT, F.when(F.col("transaction_id").endswith("7"), 2.0).otherwise(1.0))
+    assert training.amount_cuts(prepared) == [2.0]
+    assert training.amount_cuts(prepared.withColumn(training.AMOUNT, F.lit(3.0))) == [3.0]
+    assert training.amount_cuts(prepared.limit(0)) == [0.0]

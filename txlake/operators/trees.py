@@ -6,12 +6,13 @@ code: no vectors are built and nothing leaves the row.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import add
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,28 +21,36 @@ from txlake.functions.signals import feature_columns
 from txlake.operators.scoring import Scorer
 
 
-def _tree(node, names: list[str]) -> Column:
+def _at_most(name: str, threshold: float, bins: dict[str, Bucketizer]) -> Column:
+    """Whether a feature is at or below a threshold; of a bin's number, whether its value lies below where the next begins."""
+    if name not in bins:
+        return F.col(name) <= F.lit(threshold)
+    return F.col(bins[name].getInputCol()) < F.lit(bins[name].getSplits()[math.floor(threshold) + 1])
+
+
+def _tree(node, names: list[str], bins: dict[str, Bucketizer]) -> Column:
     """A node of a fitted tree: rows at or below the threshold of its split go left."""
     if node.subtreeDepth() == 0:
         return F.lit(float(node.prediction()))
     split = node.split()
     if "ContinuousSplit" not in split.getClass().getName():
         raise ValueError("only splits at a threshold can be written as a condition")
-    left, right = _tree(node.leftChild(), names), _tree(node.rightChild(), names)
-    return F.when(F.col(names[split.featureIndex()]) <= F.lit(float(split.threshold())), left).otherwise(right)
+    left, right = _tree(node.leftChild(), names, bins), _tree(node.rightChild(), names, bins)
+    return F.when(_at_most(names[split.featureIndex()], float(split.threshold()), bins), left).otherwise(right)
 
 
 def gbt_probability(model: PipelineModel) -> Column:
-    """The probability of class 1 over the columns that the pipeline assembles.
+    """The probability of class 1 over the columns that the pipeline assembles, or that it assembles the bins of.
 
     The weighted sum of the trees is half the log odds, as the library has it.
     """
     assembler = next((s for s in model.stages if isinstance(s, VectorAssembler)), None)
     forest = next((s for s in model.stages if isinstance(s, GBTClassificationModel)), None)
-    if assembler is None or forest is None or len(model.stages) != 2:
-        raise ValueError("expected a pipeline of an assembler and gradient-boosted trees")
+    bins = {s.getOutputCol(): s for s in model.stages if isinstance(s, Bucketizer)}
+    if assembler is None or forest is None or len(model.stages) != 2 + len(bins):
+        raise ValueError("expected a pipeline of bins, if any, an assembler and gradient-boosted trees")
     names = assembler.getInputCols()
-    parts = [F.lit(float(w)) * _tree(t._java_obj.rootNode(), names) for t, w in zip(forest.trees, forest.treeWeights, strict=True)]
+    parts = [F.lit(float(w)) * _tree(t._java_obj.rootNode(), names, bins) for t, w in zip(forest.trees, forest.treeWeights, strict=True)]
     return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * reduce(add, parts)))
 
 
