@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txlake.operators import silver
 from txlake.plans.fixtures import ORDER_KEY
 from txlake.plans.lake import Lake
-from txlake.sources import shared
+from txlake.sources import shared, tables
 
 
 @pytest.fixture
@@ -58,3 +58,14 @@ def test_bronze_holds_every_line_in_its_bucket_and_by_day(lake):
     assert lake.tx_bronze().inputFiles() == bronze.inputFiles()  # stored once
     one = lake.spark.read.parquet(bronze.inputFiles()[0]).select("ingestion_date", "_offset").collect()
     assert one == sorted(one)
+
+
+def test_stored_tables_are_small_and_only_those_that_are_read(lake, folder):
+    lake.quarantined()
+    assert shared.child_names(lake.spark, lake.root) == ["quarantine", "tx_bronze"]
+    tables.upsert_silver(lake.spark, lake.latest(), f"{folder}/silver", unit="year")
+    tables.write_gold(lake.silver(), f"{folder}/gold", "year")
+    staged = shared.stage(lake.spark.range(9).toDF("n"), "numbers")
+    stored = [lake.spark.read.parquet(f"{folder}/{name}") for name in ("silver", "gold")]
+    for table in (lake.tx_bronze(), lake.silver(), lake.quarantined(), staged, *stored):
+        assert table.inputFiles() and all(".zstd." in file for file in table.inputFiles())

@@ -76,7 +76,7 @@ def run_silver(
         bronze = tables.read_bronze(spark, layout.bronze, as_of, horizon_days)
     tagged = silver.tagged_silver(bronze, fx_rates(spark))
     staging = shared.fresh_path(spark, "tagged")
-    tagged.write.parquet(staging)
+    tagged.write.parquet(staging, compression=shared.CODEC)
     tagged = spark.read.schema(tagged.schema).parquet(staging)
 
     latest = silver.deduplicate(silver.valid_rows(tagged))

@@ -34,7 +34,7 @@ def _bucketed(pairs: DataFrame, key: str, buckets: int) -> DataFrame:
 
 def _write(pairs: DataFrame, key: str, folder: str, buckets: int) -> None:
     rows = _bucketed(pairs.where(F.col(key).isNotNull()), key, buckets)
-    rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(folder)
+    rows.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(folder, compression=shared.CODEC)
 
 
 def build_index(table: FolderTable | VersionedTable, key: str, buckets: int = BUCKETS) -> None:

@@ -70,7 +70,7 @@ def snapshot_tables(
     if not filled:
         raise ValueError("every named table is empty")
     for name, path in filled.items():
-        spark.read.parquet(path).write.parquet(f"{destination}/{name}")
+        spark.read.parquet(path).write.parquet(f"{destination}/{name}", compression=shared.CODEC)
     taken = _signatures(spark, filled)
     for name, path in filled.items():
         if held[name] != _signature(inventory(spark, path)):
@@ -118,5 +118,5 @@ def restore_tables(
             writer = rows.hint("rebalance", column).write.partitionBy(column)
         else:
             writer = rows.write
-        writer.parquet(f"{target}/{name}")
+        writer.parquet(f"{target}/{name}", compression=shared.CODEC)
     return names

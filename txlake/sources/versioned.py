@@ -83,7 +83,7 @@ class VersionedTable:
         spark, listed, now = self.spark, self._listed(), self.version()
         made = uuid.uuid4().hex
         staged = f"{self.path}/staged/{made}"
-        (arrange or clustered)(rows).write.partitionBy(self.partition).parquet(staged)
+        (arrange or clustered)(rows).write.partitionBy(self.partition).parquet(staged, compression=shared.CODEC)
         prefix = f"{self.partition}="
         filled = [n for n in shared.child_names(spark, staged) if n.startswith(prefix)]
         asked = {d.isoformat() for d in days}
