@@ -19,6 +19,7 @@ from txlake.constants import (
 )
 from txlake.functions import money
 from txlake.functions.rules import without_nulls
+from txlake.sources.shared import more_partitions, spread
 
 
 def quality_profile(
@@ -40,7 +41,6 @@ def quality_profile(
     frauds = F.count_if(F.col("is_fraud_label"))
     counted = silver.agg(
         rows.alias("row_count"),
-        F.count_distinct(F.col("transaction_id")).alias("distinct_transaction_ids"),
         nulls("transaction_id"),
         nulls("account_id"),
         nulls("amount"),
@@ -51,7 +51,10 @@ def quality_profile(
         frauds.alias("fraud_count"),
         F.coalesce(money.rate(frauds, rows), F.lit(0.0)).alias("fraud_rate"),
     )
-    return counted.select(
+    # counted apart: beside other aggregates each id would travel with a state of all of them
+    ids = silver.where(F.col("transaction_id").isNotNull()).select("transaction_id")
+    each = spread(ids, more_partitions(silver), "transaction_id").distinct()
+    return counted.crossJoin(each.agg(F.count(F.lit(1)).alias("distinct_transaction_ids"))).select(
         F.lit(run_id).alias("run_id"),
         "row_count",
         "distinct_transaction_ids",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txlake.functions import money
 from txlake.operators.ordered import unpivoted
+from txlake.sources.shared import more_partitions, spread
 
 #: Columns that the quality profile counts nulls of.
 NULL_COUNTED = ("transaction_id", "account_id", "amount", "amount_pln")
@@ -38,15 +39,20 @@ def category_kpi(states: DataFrame) -> DataFrame:
 def quality_state(silver: DataFrame, partition: str) -> DataFrame:
     """A row per partition with what the quality profile counts, and how many amounts its mean leaves out."""
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in NULL_COUNTED]
-    return silver.groupBy(partition).agg(
+    # counted apart: beside other aggregates each id would travel with a state of all of them
+    ids = silver.where(F.col("transaction_id").isNotNull()).select(F.col(partition).alias("_of"), "transaction_id")
+    each = spread(ids, more_partitions(silver), "_of", "transaction_id").distinct()
+    counted = each.groupBy("_of").agg(F.count(F.lit(1)).alias("distinct_ids"))
+    states = silver.groupBy(partition).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct(F.col("transaction_id")).alias("distinct_ids"),
         *nulls,
         F.min("amount").alias("amount_min"),
         F.max("amount").alias("amount_max"),
         F.count_if(F.col("is_fraud_label")).alias("fraud_count"),
         *money.sums(F.col("amount_pln"), "pln"),
     )
+    joined = states.join(counted, F.col(partition).eqNullSafe(F.col("_of")), "left").drop("_of")
+    return joined.withColumn("distinct_ids", F.coalesce("distinct_ids", F.lit(0)))
 
 
 def merged_profile(states: DataFrame, repeats: int, quarantined: int, run_id: str) -> DataFrame:

@@ -7,7 +7,7 @@ it is done, so a run that was cut short is made up for by the next one.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,16 +73,17 @@ def run_silver(
     as_of: date,
     horizon_days: int = HORIZON_DAYS,
     bronze: DataFrame | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """``jobs.run_silver`` with the indexed upsert and the merged profile; the same tables and report."""
 
     def upsert(latest: DataFrame) -> None:
-        keys.upsert_indexed(spark, latest, layout.silver, KEY, layout.unit)
+        keys.upsert_indexed(spark, latest, layout.silver, KEY, layout.unit, stored=bool(within))
 
     def profile(quarantined: int) -> DataFrame:
         return refresh_profile(spark, layout, run_id, quarantined)
 
-    return jobs.run_silver(spark, layout, run_id, as_of, horizon_days, bronze, upsert, profile)
+    return jobs.run_silver(spark, layout, run_id, as_of, horizon_days, bronze, upsert, profile, within)
 
 
 def _scorer_stamp(spark: SparkSession, layout: Layout, scorer: Scorer, threshold: float | None) -> str:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.constants import FRAUD_THRESHOLD, HORIZON_DAYS, MAX_QUARANTINE_RATIO
+from txlake.constants import FRAUD_THRESHOLD, HORIZON_DAYS, MAX_QUARANTINE_RATIO, SILVER_COLUMNS
 from txlake.operators import drift, gold, quality, silver
 from txlake.operators.scoring import Scorer, add_fraud_scores, load_or_default
 from txlake.operators.training import train
@@ -64,6 +64,7 @@ def run_silver(
     bronze: DataFrame | None = None,
     upsert: Callable[[DataFrame], None] | None = None,
     profile_of: Callable[[int], DataFrame] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Bronze to silver, quarantine and quality report; returns the metrics row.
 
@@ -71,17 +72,25 @@ def run_silver(
     everything after filters its own half of them. Folders of ``is_valid`` would
     cost a sort of all rows. The upsert writes days already clustered by account. ``upsert`` and ``profile_of``
     (from the number of rejects) may take the place of the whole-table forms.
+
+    ``within`` names columns that an id determines, and that ``bronze`` is stored in buckets of: then the latest
+    rows are found where they lie, and only these and the rejects are staged, for all that follows.
     """
     if bronze is None:
         bronze = tables.read_bronze(spark, layout.bronze, as_of, horizon_days)
-    tagged = silver.tagged_silver(bronze, fx_rates(spark))
+    tagged = silver.tagged_silver(bronze, fx_rates(spark), within)
+    if within:
+        tagged = silver.latest_and_rejected(tagged, within)
     staging = shared.fresh_path(spark, "tagged")
     tagged.write.parquet(staging, compression=shared.CODEC)
     tagged = spark.read.schema(tagged.schema).parquet(staging)
 
-    latest = silver.deduplicate(silver.valid_rows(tagged))
+    if within:
+        latest = tagged.filter("is_valid").select(*SILVER_COLUMNS)
+    else:
+        latest = silver.deduplicate(silver.valid_rows(tagged))
     if upsert is None:
-        tables.upsert_silver(spark, latest, layout.silver, unit=layout.unit)
+        tables.upsert_silver(spark, latest, layout.silver, unit=layout.unit, stored=bool(within))
     else:
         upsert(latest)
     rejected = silver.quarantined_rows(tagged)
@@ -186,12 +195,13 @@ def run_pipeline(
     horizon_days: int = HORIZON_DAYS,
     max_quarantine_ratio: float = MAX_QUARANTINE_RATIO,
     bronze: DataFrame | None = None,
+    within: Sequence[str] = (),
 ) -> str:
     """Silver, gate, gold, drift, decision, and training only on RETRAIN.
 
     A failing gate raises before any gold table is touched. Returns the verdict.
     """
-    run_silver(spark, layout, run_id, as_of, horizon_days, bronze)
+    run_silver(spark, layout, run_id, as_of, horizon_days, bronze, within=within)
     require_gate(spark, layout, run_id, max_quarantine_ratio)
     run_gold(spark, layout, run_id)
     verdict = retraining_verdict(spark, layout, run_id).select(F.col("verdict")).first()[0]

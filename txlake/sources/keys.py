@@ -57,7 +57,9 @@ def lookup(spark: SparkSession, path: str, batch: DataFrame, partition: str, key
     if not wanted:
         return spark.createDataFrame([], schema)
     pairs = spark.read.schema(schema).parquet(*wanted)
-    return pairs.join(batch.select(key), key, "left_semi").select(key, partition).distinct()
+    n = shared.more_partitions(pairs, batch)
+    found = shared.spread(pairs, n, key).join(shared.spread(batch.select(key), n, key), key, "left_semi")
+    return found.select(key, partition).distinct()
 
 
 def _repeated(table: FolderTable | VersionedTable, key: str, buckets: int) -> tuple[DataFrame, DataFrame]:
@@ -66,12 +68,15 @@ def _repeated(table: FolderTable | VersionedTable, key: str, buckets: int) -> tu
     The latter are looked up in the partitions that such pairs name, and staged.
     """
     both = [key, table.partition]
-    pairs = table.spark.read.parquet(_index_path(table.path, buckets)).select(both).distinct()
-    several = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
-    doubtful = shared.stage(pairs.join(several, key, "left_semi"), "doubtful")
+    pairs = table.spark.read.parquet(_index_path(table.path, buckets)).select(both)
+    dealt = shared.spread(pairs, shared.more_partitions(pairs), key)
+    ends = dealt.groupBy(key).agg(F.min(table.partition).alias("first"), F.max(table.partition).alias("last"))
+    several = shared.stage(ends.where("first < last").select(key), "several")  # hardly any
+    doubtful = shared.stage(pairs.join(several, key, "left_semi").distinct(), "doubtful")
+    shared.discard(several)
     days = [r[0] for r in doubtful.select(table.partition).distinct().collect()]
     true = shared.stage(table.read(days).select(both).join(doubtful, both, "left_semi").distinct(), "true")
-    single = pairs.join(doubtful.select(key).distinct(), key, "left_anti")
+    single = pairs.distinct().join(doubtful.select(key).distinct(), key, "left_anti")
     return single, true
 
 
@@ -110,19 +115,21 @@ def upsert_indexed(
     unit: str = "day",
     buckets: int = BUCKETS,
     versioned: bool = False,
+    stored: bool = False,
 ) -> list[date]:
-    """``tables.upsert_silver`` whose cost follows the batch; gives the partitions it touched.
+    """``tables.upsert_silver`` whose cost follows the batch; gives the partitions it changed.
 
     The index names the partitions that may hold an older copy of a key, their key
-    column says which do, and only those and the batch's own are read whole and
+    columns say which are changed, and only those are read whole and
     rewritten. ``valid`` must hold each key once; null keys replace nothing.
+    ``stored`` says that it only filters a stored table, so that it isn't staged.
     ``versioned`` publishes by a pointer, so that no reader sees a half-done upsert.
     """
     partition = tables.UNITS[unit]
     table = (VersionedTable if versioned else FolderTable)(spark, path, partition)
     valid = tables.placed(valid, unit)
     table.settle()
-    batch = shared.stage(valid, "batch")
+    batch = valid if stored else shared.stage(valid, "batch")
     try:
         schema = batch.schema
         filled = table.filled()
@@ -131,18 +138,20 @@ def upsert_indexed(
         days = {r[0] for r in batch.select(partition).distinct().collect()}
         known = shared.stage(lookup(spark, path, batch, partition, key, buckets), "known")
         may_hold = [r[0] for r in known.select(partition).distinct().collect()]
-        if filled and may_hold:
-            looked_into = table.read(may_hold, schema).select(key, partition)
-            held = looked_into.join(batch.select(key), key, "left_semi").select(partition).distinct()
-            days |= {r[0] for r in held.collect()}
-        new = batch.select(key, partition).join(known, [key, partition], "left_anti")
-        _write(new, key, _index_path(path, buckets), buckets)
-        shared.discard(known)
+        replaces = bool(filled and may_hold)
+        if replaces:
+            days, replaces = tables.changed_partitions(table.read(may_hold, schema), batch, key, partition)
         if days:
+            n = shared.more_partitions(known, batch)
+            named = shared.spread(batch.select(key, partition), n, key)
+            new = named.join(shared.spread(known, n, key), [key, partition], "left_anti") if may_hold else named
+            _write(new, key, _index_path(path, buckets), buckets)
             target = table.read(sorted(days), schema)
-            table.replace(tables.merged_rows(target, batch, key), sorted(days))
+            table.replace(tables._changed_rows(target, batch, key, partition, days, replaces), sorted(days))
+        shared.discard(known)
         if _gathered(spark, path, buckets) > COMPACT_AFTER:
             compact(table, key, buckets)
         return sorted(days)
     finally:
-        shared.discard(batch)
+        if not stored:
+            shared.discard(batch)
