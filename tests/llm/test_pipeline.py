@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline as cp
 from tests.llm import brute
 from tests.llm.test_decontaminate import brute_overlaps
-from tests.llm.test_shingles import alike, sets
-from txlake.llm import quality
+from tests.llm.test_shingles import alike, copies, sets
+from txlake.llm import quality, shingles
 from txlake.llm.common import table
 from txlake.sources.shared import stage
 
@@ -80,6 +80,15 @@ def test_near_duplicates_are_decided_by_row(spark):
     assert [r for r in found if r[0] is not None] == [(1, a), (1, b), (3, c), (4, None)]
 
 
+def test_texts_that_share_no_band_are_compared_too(spark, monkeypatch):
+    texts = copies()
+    said = dict(enumerate(map(sets, texts)))
+    expected = brute.classes(said, [(i, j) for i in said for j in said if i < j and alike(said[i], said[j])])
+    monkeypatch.setattr(shingles, "bands", lambda found: [shingles._hash(found)])
+    kept = cp.one_of_each(spark, spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+
+
 def test_leaks_are_decided_by_row(spark):
     leak = table(spark, SF_DIR, "benchmark").where("length(text) > 100").first().text
     rows = [(1, "clean text"), (1, f"x {leak}"), (None, leak), (None, "clean too"), (2, None), (None, None)]
