@@ -54,6 +54,30 @@ def test_gold_equals_a_full_recompute(spark, folder, unit):
     assert state(spark, layout) == state(spark, whole)
 
 
+@pytest.mark.parametrize("unit", ["day", "year"])
+def test_rows_stay_in_the_tasks_that_read_or_sum_them(spark, folder, monkeypatch, unit):
+    layout = jobs.Layout(folder, unit)
+    keys.upsert_indexed(spark, silver_rows(spark, *rows(random.Random(5), "abcdefgh")), layout.silver, unit=unit)
+    shuffles, replace = {}, tables.replace_partitions
+
+    def counted(spark, rows, path, partition, days, arrange=None, changed=True):
+        plan = arrange(rows)._jdf.queryExecution().sparkPlan().toString()
+        ready = rows._jdf.queryExecution().executedPlan().toString()
+        shuffles[path.rsplit("/", 1)[1]] = (plan.count("REBALANCE"), ready.count("Exchange"))
+        replace(spark, rows, path, partition, days, arrange, changed)
+
+    monkeypatch.setattr(tables, "replace_partitions", counted)
+    incremental.run_gold(spark, layout)
+    assert shuffles["fraud_signals"] == shuffles["scored_transactions"] == (0, 0)
+    assert all(n == 0 for n, _ in shuffles.values())
+    monkeypatch.setattr(incremental, "FEW_PARTITIONS", 0)
+    shared.delete(spark, layout.gold)
+    shared.delete(spark, f"{layout.root}/state")
+    incremental.run_gold(spark, layout)
+    summed = {t: n for t, (n, _) in shuffles.items() if t not in ("fraud_signals", "scored_transactions")}
+    assert set(summed.values()) == {1} and shuffles["fraud_signals"] == (0, 0)
+
+
 def test_gold_reads_only_what_changed(spark, folder):
     layout = jobs.Layout(folder)
     first = [tx(transaction_id=n, timestamp=f"2026-06-{d:02d}T10:00:00+00:00") for n, d in (("a", 1), ("b", 2), ("c", 3))]

@@ -21,6 +21,10 @@ from txlake.sources import keys, reports, shared, tables
 
 KEY = "transaction_id"
 GOLD, QUALITY = "gold", "quality"
+#: With so few partitions a task's file for each of them is large enough; dealing rows by partition is a shuffle of them all.
+FEW_PARTITIONS = 32
+#: Tables with a row made of each one of silver's, so that their files are as silver's are.
+BY_ROW = ("fraud_signals", "scored_transactions")
 
 #: Rows of a table from the silver rows of the partitions it is recomputed for.
 Build = Callable[[DataFrame], DataFrame]
@@ -40,8 +44,9 @@ def _refresh(spark: SparkSession, layout: Layout, path: str, build: Build, days:
         return
     rows = build(tables.read_partitions(spark, layout.silver, partition, days))
     rows = rows if partition in rows.columns else tables.placed(rows, layout.unit)
+    dealt = path.rsplit("/", 1)[1] in BY_ROW or len(days) <= FEW_PARTITIONS
     tables.replace_partitions(
-        spark, rows, path, partition, days, arrange=lambda df: df.hint("rebalance", partition), changed=False
+        spark, rows, path, partition, days, arrange=lambda df: df if dealt else df.hint("rebalance", partition), changed=False
     )
 
 
