@@ -121,3 +121,31 @@ def test_a_trie_knows_its_phrases_and_no_other():
         for i, s in zip(at.tolist(), states.tolist(), strict=True):
             assert ends.get(s, tuple(asked[i, : k + 1].tolist())) == tuple(asked[i, : k + 1].tolist())
     assert len(trie.build(np.zeros((0, 4), np.int64)).ends) == 0
+
+
+def test_larger_tables_keep_out_what_smaller_ones_let_through(spark, monkeypatch):
+    drawn = random.Random(9)
+    seldom = [" ".join(f"s{drawn.randrange(4000)}" for _ in range(500)) for _ in range(600)]
+    often = ["alpha beta gamma"] * 40
+    docs = spark.createDataFrame([(t, "en") for t in [*seldom, *often]], "text string, lang string").repartition(3)
+    monkeypatch.setattr(collocation, "LEAST_COUNT", 5)
+    rows = docs.select("lang", "text")
+    found = {}
+    for bits in (16, 22):
+        maps = collocation._frequent_buckets(collocation._counted(rows, bits).where("table >= 0"), bits)
+        assert {len(m) for m in maps} == {1 << (bits - 3)}
+        found[bits] = {r.phrase for r in collocation._candidates(rows, maps).collect()}
+    assert found[22] <= found[16] and {"alpha beta", "beta gamma", "alpha beta gamma"} <= found[22]
+    assert len(found[22]) * 10 < len(found[16])
+    monkeypatch.setattr(collocation, "HELD", 100)
+    again = collocation._frequent_buckets(collocation._counted(rows, 22).where("table >= 0"), 22)
+    assert all((a == b).all() for a, b in zip(again, maps, strict=True))
+
+
+def test_buckets_grow_with_the_text(spark, monkeypatch):
+    docs = spark.createDataFrame([("x" * 12_800, "en")] * 100, "text string, lang string")
+    assert collocation.bucket_bits(docs) == collocation.BITS
+    monkeypatch.setattr(collocation, "BITS", 8)
+    assert collocation.bucket_bits(docs) == 14  # 10,000 buckets wanted
+    monkeypatch.setattr(collocation, "MOST_BITS", 10)
+    assert collocation.bucket_bits(docs) == 10

@@ -35,6 +35,9 @@ SCALE = 2_000_000
 
 #: Tables of a level, and the buckets of each, in bits; they are written and summed in blocks.
 TABLES, BITS, BLOCK_BITS = 2, 23, 16
+#: Characters for each bucket of a table: with many more all buckets are counted often and tell nothing, so large inputs get more
+#: buckets, up to so many bits (64 MB of maps in all).
+BUCKET_CHARS, MOST_BITS = 128, 26
 #: Candidates of one trie, and tries broadcast at once.
 TRIE_PHRASES, TRIES = 200_000, 8
 #: Text of one language that is cut into words at once.
@@ -45,6 +48,8 @@ SEEN = 1 << 22
 #: Numbers that candidates are dealt by, and phrases whose counts are sent and summed as one block.
 DEALS = 4096
 COUNTS = 4096
+#: Blocks of buckets sent as one batch.
+SENT = 512
 #: Parts of a language that its first phrases are chosen in.
 SALTS = 32
 
@@ -122,9 +127,15 @@ def runs(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray, list[tuple[np.
     return begins, ends, levels
 
 
-def _buckets(h: np.ndarray) -> list[np.ndarray]:
+def _buckets(h: np.ndarray, bits: int = BITS) -> list[np.ndarray]:
     """The bucket of each run in each table."""
-    return [((h >> np.uint64(64 - (t + 1) * BITS)) & np.uint64((1 << BITS) - 1)).astype(np.uint32) for t in range(TABLES)]
+    return [((h >> np.uint64(64 - (t + 1) * bits)) & np.uint64((1 << bits) - 1)).astype(np.uint32) for t in range(TABLES)]
+
+
+def bucket_bits(rows: DataFrame) -> int:
+    """Bits of a table's buckets for all the texts."""
+    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(BITS, (chars // BUCKET_CHARS).bit_length()), MOST_BITS)
 
 
 class BucketCounts:
@@ -151,54 +162,116 @@ class BucketCounts:
                 found.clear()
         self.n = 0
 
-    def blocks(self) -> Iterator[tuple[int, int, bytes]]:
-        """Table, block and its counts."""
+    def blocks(self) -> Iterator[tuple[int, int, int, bytes]]:
+        """Table, block, its size and its counts, compressed."""
         self.settle()
         for number, counts in enumerate(self.counts):
             for block, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
                 if part.any():
-                    yield number, block, pa.compress(part.tobytes(), codec="zstd", asbytes=True)
+                    yield number, block, part.nbytes, pa.compress(part.tobytes(), codec="zstd", asbytes=True)
+
+
+def _block_bits(bits: int) -> int:
+    """Bits of a block: larger tables have 1,024 blocks each, so that what a task sends of one is small."""
+    return BLOCK_BITS if bits == BITS else bits - 10
+
+
+class SparseCounts(BucketCounts):
+    """``BucketCounts`` of larger tables, which one task meets few buckets of: what has gathered is given out and forgotten."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits = bits
+        self.waiting: list[list[np.ndarray]] = [[] for _ in range(MOST_WORDS * TABLES)]
+        self.n = 0
+
+    def add(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        for level, (h, valid) in enumerate(levels):
+            for t, buckets in enumerate(_buckets(h[valid], self.bits)):
+                self.waiting[level * TABLES + t].append(buckets)
+        self.n += len(levels[0][0])
+
+    def blocks(self) -> Iterator[tuple[int, int, int, bytes]]:
+        """Table, block, size, and the buckets met in it followed by their counts."""
+        for number, found in enumerate(self.waiting):
+            met, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            found.clear()
+            if not len(met):
+                continue
+            size = _block_bits(self.bits)
+            block, begins = np.unique(met >> size, return_index=True)
+            at, n = (met & ((1 << size) - 1)).astype(np.uint16), np.minimum(n, LEAST_COUNT).astype(np.uint8)
+            for b, i, j in zip(block.tolist(), begins.tolist(), [*begins[1:].tolist(), len(met)], strict=True):
+                yield number, b, 3 * (j - i), pa.compress(at[i:j].tobytes() + n[i:j].tobytes(), codec="zstd", asbytes=True)
+        self.n = 0
+
+
+def _dense(size: int, counts: bytes, bits: int) -> np.ndarray:
+    """A block's counts, of ``size`` bytes before they were compressed: all of them, or in larger tables three bytes for each bucket met."""
+    raw = np.frombuffer(pa.decompress(counts, size, codec="zstd"), np.uint8)
+    if bits == BITS:
+        return raw
+    part, met = np.zeros(1 << _block_bits(bits), np.uint8), size // 3
+    part[raw[: 2 * met].view(np.uint16)] = raw[2 * met :]
+    return part
 
 
-def _counted(rows: DataFrame) -> DataFrame:
+def _counted(rows: DataFrame, bits: int = BITS) -> DataFrame:
     """First pass: words by language (``table`` -1), and for each task its buckets in compressed blocks."""
-    names = ["table", "block", "counts", "lang", "n"]
+    names = ["table", "block", "size", "counts", "lang", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, words = BucketCounts(), {}
+        buckets, words = BucketCounts() if bits == BITS else SparseCounts(bits), {}
         for batch in slices(batches):
             for lang, data in by_language(batch).items():
                 for part, tail in segments(data):
                     begins, _, levels = runs(part, lang)
                     words[lang] = words.get(lang, 0) + len(begins) - tail
                     buckets.add(levels)
+            if bits != BITS and buckets.n > HELD:
+                yield from sent(buckets)
         yield pa.RecordBatch.from_pylist([{"table": -1, "block": -1, "lang": k, "n": n} for k, n in words.items()], pa.schema(fields))
-        for number, block, counts in buckets.blocks():
-            yield pa.RecordBatch.from_pylist([{"table": number, "block": block, "counts": counts}], pa.schema(fields))
+        yield from sent(buckets)
+
+    def sent(buckets: BucketCounts) -> Iterator[pa.RecordBatch]:
+        columns: list[list] = [[], [], [], []]
+        for row in buckets.blocks():
+            for column, value in zip(columns, row, strict=True):
+                column.append(value)
+            if len(columns[0]) == SENT:
+                yield batch_of(columns)
+                columns = [[], [], [], []]
+        yield batch_of(columns)
+
+    def batch_of(columns: list[list]) -> pa.RecordBatch:
+        n = len(columns[0])
+        arrays = [pa.array(c, t) for c, (_, t) in zip([*columns, [None] * n, [None] * n], fields, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
-    fields = list(zip(names, (pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64()), strict=True))
-    return rows.mapInArrow(run, "table int, block int, counts binary, lang string, n long")
+    fields = list(zip(names, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.int64()), strict=True))
+    return rows.mapInArrow(run, "table int, block int, size int, counts binary, lang string, n long")
 
 
-def _frequent_buckets(blocks: DataFrame) -> list[np.ndarray]:
+def _frequent_buckets(blocks: DataFrame, bits: int = BITS) -> list[np.ndarray]:
     """For each table a bit per bucket, set where all tasks together met it ``LEAST_COUNT`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in slices(batches):
-            for number, block, counts in zip(*(batch.column(c).to_pylist() for c in ("table", "block", "counts")), strict=True):
-                part = np.frombuffer(pa.decompress(counts, 1 << BLOCK_BITS, codec="zstd"), np.uint8)
+            for number, block, size, counts in zip(*(batch.column(c).to_pylist() for c in ("table", "block", "size", "counts")), strict=True):
+                part = _dense(size, counts, bits)
                 so_far = sums.get((number, block))
                 sums[number, block] = part if so_far is None else np.minimum(so_far + part, LEAST_COUNT)
-        found = [(*k, np.packbits(s >= LEAST_COUNT).tobytes()) for k, s in sums.items()]
-        number, block, bits = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), pa.array(block, pa.int32()), pa.array(bits, pa.binary())], names=["table", "block", "bits"])
-
-    maps = [np.zeros(1 << (BITS - 3), np.uint8) for _ in range(MOST_WORDS * TABLES)]
-    dealt = blocks.select("table", "block", "counts").repartition("table", "block")
-    for row in dealt.mapInArrow(run, "table int, block int, bits binary").collect():  # 8 MB in all
-        size = 1 << (BLOCK_BITS - 3)
+        for (number, block), s in sums.items():
+            columns = [pa.array([number], pa.int32()), pa.array([block], pa.int32()), pa.array([np.packbits(s >= LEAST_COUNT).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["table", "block", "bits"])
+
+    maps = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(MOST_WORDS * TABLES)]
+    dealt = blocks.select("table", "block", "size", "counts").repartition("table", "block")
+    found = stage(dealt.mapInArrow(run, "table int, block int, bits binary"), "maps")
+    for row in found.toLocalIterator():  # 8 MB in all, or up to 64
+        size = 1 << (_block_bits(bits) - 3)
         maps[row.table][row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    discard(found)
     return maps
 
 
@@ -207,7 +280,7 @@ def _safe(levels: list[tuple[np.ndarray, np.ndarray]], maps: list[np.ndarray]) -
     found: list[np.ndarray] = []
     for level, (h, valid) in enumerate(levels):
         ok = valid.copy()
-        for bits, at in zip(maps[level * TABLES :], _buckets(h), strict=False):
+        for bits, at in zip(maps[level * TABLES :], _buckets(h, (8 * len(maps[0])).bit_length() - 1), strict=False):
             ok &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
         if found:
             ok &= found[-1][:-1] & found[-1][1:] if len(found[-1]) else False
@@ -424,8 +497,9 @@ def _shard_counts(rows: DataFrame, shards: list[dict]) -> DataFrame:
 def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, a`` of every word and phrase that counts, and ``lang, n``, all words of a language."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    counted = stage(_counted(rows), "buckets")
-    maps = _frequent_buckets(counted.where("table >= 0"))
+    bits = bucket_bits(rows)
+    counted = stage(_counted(rows, bits), "buckets")
+    maps = _frequent_buckets(counted.where("table >= 0"), bits)
     totals = stage(counted.where("table < 0").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     discard(counted)
     candidates = stage(_candidates(rows, maps), "candidates")
